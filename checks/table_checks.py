@@ -3,20 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from checks import standins as s
 from checks.catalog import Tables, check
 from harvest.operators import combine, coverage, history, measure, upsert
-from harvest.operators.ranking import first_seen
 from harvest.plans.load import Roots, load_records
-from harvest.schemas import REPO, STATS, conform
 from harvest.sources import matrix, matrix_values as v
 from harvest.sources.exports import export_csv, write_jobs
 from harvest.sources.scratch import new_path
-from harvest.sources.tables import empty, read_repo, read_stats, store_repo, store_stats
+from harvest.sources.tables import publish_repo, read_repo, read_stats, store_repo, store_stats
 from harvest.streaming.ingest import ingest_stream
 
 DAY = dt.date.fromisoformat(s.FETCHED)
@@ -441,9 +438,6 @@ def stored_repo(t: Tables) -> DataFrame:
     """The customer table published, then the order batch stored on top."""
     root = new_path(t.spark, "repo")
     start = s.customer_repo(t.customer)
-    # With derive_name=False and one write per id this publishes the rows as they are.
-    from harvest.sources.tables import publish_repo
-
     publish_repo(start, root)
     store_repo(s.order_batch(t.orders), root)
     return read_repo(t.spark, root)
@@ -482,12 +476,6 @@ def _new_roots(t: Tables) -> Roots:
     return Roots(f"{root}/repo", f"{root}/stats", f"{root}/bad")
 
 
-def _loaded_sql(source: str) -> str:
-    return f"""
-    SELECT id, name, owner, url, created_at, alphabet_partition, owner || '/' || name AS name_with_owner, fetched_date,
-           CAST(stars AS INTEGER) AS stars, CAST(NULL AS VARCHAR) AS reason FROM ({source})"""
-
-
 @check(
     f"""
     WITH {s.DEFECTS_SQL}, job_rows AS (

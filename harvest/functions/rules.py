@@ -48,8 +48,8 @@ def query_rules(query_string: Column) -> list[Rule]:
     return [("query_blank", ~F.coalesce(query_string, F.lit("")).rlike(r"\S"))]
 
 
-def node_rules(raw: Column, node: Column) -> list[Rule]:
-    """Structure of one search node: `raw` is its JSON text, `node` the parsed struct.
+def node_rules(raw: Column, node: Column, created_at: Column) -> list[Rule]:
+    """Structure of one search node: `raw` is its JSON text, `node` the parsed struct, `created_at` its parsed time.
 
     The keys of the text are looked at only where a parsed value is NULL, so good nodes are parsed once.
     """
@@ -62,7 +62,7 @@ def node_rules(raw: Column, node: Column) -> list[Rule]:
     id_rule, name_rule, stars_rule = repo_rules(node["databaseId"], node["name"], owner, node["stargazerCount"])
     return [
         ("not_an_object", F.when(node["databaseId"].isNull(), keys.isNull())),
-        ("created_at_invalid", bad_ts(node["createdAt"])),
+        ("created_at_invalid", bad_ts(node["createdAt"], created_at)),
         ("id_missing", missing(node["databaseId"], "databaseId")),
         ("name_missing", missing(node["name"], "name")),
         ("owner_missing", owner.isNull()),

@@ -19,7 +19,9 @@ def parse_ts(text: Column | str, mode: str = "wall") -> Column:
     if mode not in ("wall", "utc"):
         raise ValueError(f"mode must be 'wall' or 'utc', not {mode!r}")
     text = F.col(text) if isinstance(text, str) else text
-    wall = F.when(text.rlike(ISO_FORMAT), F.regexp_replace(text, ISO_OFFSET, "").try_cast("timestamp_ntz"))
+    # The cast to a zone-free timestamp reads past a final Z by itself.
+    bare = F.when(text.endswith("Z"), text).otherwise(F.regexp_replace(text, ISO_OFFSET, ""))
+    wall = F.when(text.rlike(ISO_FORMAT), bare.try_cast("timestamp_ntz"))
     if mode == "wall":
         return wall
 
@@ -31,7 +33,6 @@ def parse_ts(text: Column | str, mode: str = "wall") -> Column:
     return F.when(~has_offset, wall).when(part(1) == "+", wall - offset).otherwise(wall + offset)
 
 
-def bad_ts(text: Column | str) -> Column:
-    """True where time text is present but cannot be parsed; missing and empty text are fine."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce((text != "") & parse_ts(text).isNull(), F.lit(False))
+def bad_ts(text: Column, parsed: Column) -> Column:
+    """True where time text is present but could not be parsed; missing and empty text are fine."""
+    return (text != "") & parsed.isNull()

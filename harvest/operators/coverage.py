@@ -11,26 +11,29 @@ from harvest.sources.matrix import bounds, fields_of, render, scheme_of
 from harvest.sources.matrix_values import LICENSE_NAMES
 
 
-def band_of(value: Column, bands: list[str], kind=int) -> Column:
-    """The band text a value falls in, NULL outside all bands. Bands have no gaps and no overlap.
+def band_of(value: str, bands: list[str], kind=int) -> Column:
+    """The band text that the SQL expression `value` falls in, NULL outside all bands. Bands have no gaps and no overlap.
 
-    Built as a balanced tree of comparisons, so that 80 bands take 7 compares per row in generated code.
+    A balanced tree of comparisons: 80 bands take 7 compares per row, in generated code.
     """
     ends = sorted(((bounds(band, kind), band) for band in bands), key=lambda e: (e[0][0] is not None, e[0][0] or 0))
 
-    def tree(part) -> Column:
+    def sql(bound) -> str:
+        return f"DATE '{bound}'" if isinstance(bound, dt.date) else str(bound)
+
+    def tree(part) -> str:
         if len(part) == 1:
-            return F.lit(part[0][1])
+            return f"'{part[0][1]}'"
         middle = len(part) // 2
-        return F.when(value < F.lit(part[middle][0][0]), tree(part[:middle])).otherwise(tree(part[middle:]))
+        return f"CASE WHEN {value} < {sql(part[middle][0][0])} THEN {tree(part[:middle])} ELSE {tree(part[middle:])} END"
 
+    inside = [f"{value} IS NOT NULL"]
     lowest, highest = ends[0][0][0], ends[-1][0][1]
-    inside = value.isNotNull()
     if lowest is not None:
-        inside = inside & (value >= F.lit(lowest))
+        inside.append(f"{value} >= {sql(lowest)}")
     if highest is not None:
-        inside = inside & (value <= F.lit(highest))
-    return F.when(inside, tree(ends))
+        inside.append(f"{value} <= {sql(highest)}")
+    return F.expr(f"CASE WHEN {' AND '.join(inside)} THEN {tree(ends)} END")
 
 
 def license_key(name: Column) -> Column:
@@ -41,32 +44,33 @@ def license_key(name: Column) -> Column:
     return key
 
 
-def _probes(repos: DataFrame, columns: Mapping[str, str], scheme: str) -> Column:
-    """The primary queries a row answers, as an array of query texts; `topic` may be an array column."""
+def _probes(repos: DataFrame, columns: Mapping[str, str], scheme: str, id: str, explode=F.explode) -> DataFrame:
+    """(id, query_string) for the one primary query per strategy that a row could answer; `topic` may be an array column."""
     plan = scheme_of(scheme)
     fields: dict[str, Column] = {}
     for name, column in columns.items():
-        value = F.col(column)
         if name == "created":
-            fields[name] = band_of(value.cast("date"), plan.lists[name], dt.date.fromisoformat)
+            fields[name] = band_of(f"CAST(`{column}` AS DATE)", plan.lists[name], dt.date.fromisoformat)
         elif name in ("stars", "size"):
-            fields[name] = band_of(value, plan.lists[name])
-        elif name == "language":
-            fields[name] = F.lower(value)
+            fields[name] = band_of(f"`{column}`", plan.lists[name])
         else:
-            fields[name] = value
+            fields[name] = F.lower(column) if name == "language" else F.col(column)
+    # The bands get columns of their own, so that each is looked up once and not once per strategy.
+    banded = repos.select(F.col(id).alias("id"), *[value.alias(name) for name, value in fields.items()])
+    fields = {name: F.col(name) for name in fields}
     probes = []
     for strategy, lists, templates in plan.strategies:
         query = templates[0][0]
         if strategy == "special" or not fields_of(query) <= set(fields):
             continue
-        if strategy == "topic" and repos.schema[columns["topic"]].dataType.typeName() == "array":
-            probes.append(F.transform(F.array_distinct(fields["topic"]), lambda t, q=query: render(q, {**fields, "topic": t})))
+        if strategy == "topic" and banded.schema["topic"].dataType.typeName() == "array":
+            probes.append(F.transform(F.array_distinct("topic"), lambda t, q=query: render(q, {**fields, "topic": t})))
         else:
             probes.append(F.array(render(query, fields)))
     if not probes:
         raise ValueError(f"no strategy of {scheme!r} can be evaluated on {sorted(columns)}")
-    return F.flatten(F.array(*[F.coalesce(p, F.array().cast("array<string>")) for p in probes]))
+    queries = F.flatten(F.array(*[F.coalesce(p, F.array().cast("array<string>")) for p in probes]))
+    return banded.select("id", explode(queries).alias("query_string"))
 
 
 def _primary(matrix: DataFrame) -> DataFrame:
@@ -85,15 +89,15 @@ def coverage(
     row renders the one query per strategy it can match, and an equi join on the text does the rest. The matrix must be
     of the same scheme.
     """
-    probes = repos.select(F.col(id).alias("id"), F.explode(_probes(repos, columns, scheme)).alias("query_string"))
+    probes = _probes(repos, columns, scheme, id)
     return probes.join(F.broadcast(_primary(matrix)), "query_string").select("id", "query_string")
 
 
 def coverage_counts(
-    repos: DataFrame, matrix: DataFrame, columns: Mapping[str, str], scheme: str = "fine"
+    repos: DataFrame, matrix: DataFrame, columns: Mapping[str, str], scheme: str = "fine", id: str = "id"
 ) -> DataFrame:
     """Rows per primary query, 0 for queries that cover none. Rows are counted per query text before the join."""
-    probes = repos.select(F.explode(_probes(repos, columns, scheme)).alias("query_string"))
+    probes = _probes(repos, columns, scheme, id)
     hits = probes.groupBy("query_string").agg(F.count(F.lit(1)).alias("repos"))
     return _primary(matrix).join(hits, "query_string", "left").select("query_string", F.coalesce("repos", F.lit(0)).alias("repos"))
 
@@ -102,6 +106,6 @@ def uncovered(
     repos: DataFrame, matrix: DataFrame, columns: Mapping[str, str], scheme: str = "fine", id: str = "id"
 ) -> DataFrame:
     """Ids that no primary query of the matrix covers, in one scan of the table."""
-    probes = repos.select(F.col(id).alias("id"), F.explode_outer(_probes(repos, columns, scheme)).alias("query_string"))
+    probes = _probes(repos, columns, scheme, id, F.explode_outer)
     marked = probes.join(F.broadcast(_primary(matrix).withColumn("_hit", F.lit(1))), "query_string", "left")
     return marked.groupBy("id").agg(F.count("_hit").alias("_hits")).filter(F.col("_hits") == 0).select("id")

@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harvest.operators.ranking import first_seen
-from harvest.schemas import PAGE_KEY
 
 
 def crawl_metrics(
@@ -41,12 +39,23 @@ def crawl_metrics(
 def page_yield(hits: DataFrame) -> DataFrame:
     """Hits and new ids of every page. An id is new on the page that is first, in crawl order, to show it to its job.
 
-    Counted as two partial aggregations and a join of page rows, so that no id has to gather all its copies.
+    Every hit counts once for its page and once for its id. Both counts go through one scan and two partial
+    aggregations, so that no id and no page has to gather all its copies.
     """
-    new = first_seen(hits.select(*PAGE_KEY, "pos", "id"), ["job", "id"], ["query_idx", "page_idx", "pos"])
-    counts = hits.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("hits"))
-    fresh = new.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("new_ids"))
-    return counts.join(fresh, PAGE_KEY, "left").select(*PAGE_KEY, "hits", F.coalesce("new_ids", F.lit(0)).alias("new_ids"))
+    query, page = F.col("query_idx"), F.col("page_idx")
+    at = F.struct(query, page, F.col("pos"))
+
+    def side(q: Column, p: Column, id: Column, first: Column) -> Column:
+        return F.struct(q.alias("q"), p.alias("p"), id.alias("id"), first.alias("at"))
+
+    none = F.lit(None)
+    both = F.array(side(query, page, none, none), side(none, none, F.col("id"), at))
+    rows = hits.select("job", F.explode(both).alias("r")).select("job", "r.*")
+    once = rows.groupBy("job", "q", "p", "id").agg(F.count(F.lit(1)).alias("hits"), F.min("at").alias("at"))
+    per_page = once.groupBy(
+        "job", F.coalesce("q", "at.query_idx").alias("query_idx"), F.coalesce("p", "at.page_idx").alias("page_idx")
+    )
+    return per_page.agg(F.sum(F.when(F.col("at").isNull(), F.col("hits"))).alias("hits"), F.count("at").alias("new_ids"))
 
 
 def load_report(marked: DataFrame) -> DataFrame:

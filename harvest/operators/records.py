@@ -30,10 +30,9 @@ def marked(df: DataFrame, reason: Column) -> DataFrame:
     return df.withColumn("reason", reason)
 
 
-def node_reason(raw: Column | None = None, node: Column | None = None) -> Column:
-    raw = F.col("raw") if raw is None else raw
-    node = F.col("node") if node is None else node
-    return rules.first_broken(rules.node_rules(raw, node))
+def node_reason() -> Column:
+    """Reason column for the output of `explode_nodes`."""
+    return rules.first_broken(rules.node_rules(F.col("raw"), F.col("node"), parse_ts("node.createdAt")))
 
 
 def repo_reason() -> Column:
@@ -79,15 +78,18 @@ def check_table(df: DataFrame, width: int = PARTITION_WIDTH) -> Checked:
     return split(df, table_reason(df, width))
 
 
-def record_fields(node: Column, extras: bool = False) -> list[Column]:
-    """The six stored fields of a node; `extras` adds the fetched fields that the tables do not store."""
+def record_fields(node: Column, extras: bool = False, created_at: Column | None = None) -> list[Column]:
+    """The six stored fields of a node; `extras` adds the fetched fields that the tables do not store.
+
+    `created_at` is the parsed creation time if the caller has it already.
+    """
     fields = [
         node["databaseId"].alias("id"),
         node["name"].alias("name"),
         node["owner"]["login"].alias("owner"),
         node["url"].alias("url"),
         node["stargazerCount"].alias("stars"),
-        parse_ts(node["createdAt"]).alias("created_at"),
+        (parse_ts(node["createdAt"]) if created_at is None else created_at).alias("created_at"),
     ]
     if extras:
         fields += [

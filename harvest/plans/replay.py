@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harvest.functions import rules
+from harvest.functions.timestamps import parse_ts
 from harvest.operators.pages import MAX_PAGES, last_attempt, page_flags, valid_pages
 from harvest.operators.ranking import cap, first_seen
 from harvest.operators.records import record_fields
-from harvest.schemas import NODE, PAGE_KEY
-from harvest.sources.pages import nodes_of
+from harvest.schemas import PAGE_KEY
+from harvest.sources.pages import nodes_of, parsed_nodes
 
 CRAWL_ORDER = ["query_idx", "page_idx", "pos"]
 
 
 def node_records(nodes: Column) -> Column:
-    """Raw nodes to an array of (record fields, reason), in page order."""
-    parsed = F.transform(nodes, lambda raw: F.struct(raw.alias("raw"), F.from_json(raw, NODE).alias("node")))
+    """Raw nodes to an array of (record fields, reason), in page order. Each step's result is used by the next, not repeated."""
+    timed = F.transform(
+        parsed_nodes(nodes),
+        lambda n: F.struct(n["raw"].alias("raw"), n["node"].alias("node"), parse_ts(n["node"]["createdAt"]).alias("at")),
+    )
     return F.transform(
-        parsed,
+        timed,
         lambda n: F.struct(
-            *record_fields(n["node"]), rules.first_broken(rules.node_rules(n["raw"], n["node"])).alias("reason")
+            *record_fields(n["node"], created_at=n["at"]),
+            rules.first_broken(rules.node_rules(n["raw"], n["node"], n["at"])).alias("reason"),
         ),
     )
 

@@ -13,9 +13,14 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_pages(df: DataFrame, body_col: str) -> DataFrame:
-    """Parse response text held in a column; `text` keeps the raw response for the status rules."""
+    """Parse response text held in a column; `text` keeps the raw response for the status rules.
+
+    The struct is unpacked from an array of one. Filters on it then stay above the parsing, where Spark would otherwise
+    copy the parser into every term of a pushed-down condition and parse each page many times.
+    """
     keep = [c for c in df.columns if c not in (body_col, "text", "body")]
-    return df.select(*keep, F.col(body_col).alias("text"), F.from_json(body_col, PAGE_BODY).alias("body"))
+    body = F.explode(F.array(F.from_json(body_col, PAGE_BODY)))
+    return df.select(*keep, F.col(body_col).alias("text"), body.alias("body"))
 
 
 def nodes_of(body: Column | str = "body") -> Column:
@@ -23,8 +28,16 @@ def nodes_of(body: Column | str = "body") -> Column:
     return body["data"]["search"]["nodes"]
 
 
+def parsed_nodes(nodes: Column) -> Column:
+    """An array of raw nodes as an array of (raw JSON text, parsed node)."""
+    return F.transform(nodes, lambda raw: F.struct(raw.alias("raw"), F.from_json(raw, NODE).alias("node")))
+
+
 def explode_nodes(pages: DataFrame) -> DataFrame:
-    """One row per node with its position in the page: page columns, pos, raw (JSON text), node (parsed)."""
+    """One row per node with its position in the page: page columns, pos, raw (JSON text), node (parsed).
+
+    Nodes are parsed before they are unpacked, for the reason given in `parse_pages`.
+    """
     keep = [c for c in pages.columns if c not in ("body", "text")]
-    rows = pages.select(*keep, F.posexplode(nodes_of()).alias("pos", "raw"))
-    return rows.withColumn("node", F.from_json("raw", NODE))
+    rows = pages.select(*keep, F.posexplode(parsed_nodes(nodes_of())).alias("pos", "n"))
+    return rows.select(*keep, "pos", "n.raw", "n.node")
