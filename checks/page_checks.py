@@ -87,10 +87,6 @@ def page_yield(t: Tables) -> DataFrame:
     """
 )
 def query_yield(t: Tables) -> DataFrame:
-    return measure_usable(t)
-
-
-def measure_usable(t: Tables) -> DataFrame:
     return pages.query_yield(pages.page_status(s.pages(t.events)).filter(F.col("status").isin(pages.USABLE)))
 
 

@@ -233,6 +233,16 @@ def single_job_ids(t: Tables) -> DataFrame:
     return combine.exclusive(_job_rows(t))
 
 
+@check("SELECT l_orderkey AS id FROM lineitem INTERSECT SELECT p_partkey FROM part")
+def ids_in_both(t: Tables) -> DataFrame:
+    return combine.in_both(_job_rows(t), s.repo(t.part))
+
+
+@check("SELECT l_partkey AS id FROM lineitem EXCEPT ALL SELECT o_custkey FROM orders")
+def ids_left_over(t: Tables) -> DataFrame:
+    return combine.only_left(t.lineitem.select(F.col("l_partkey").alias("id")), t.orders.select(F.col("o_custkey").alias("id")))
+
+
 @check("SELECT DISTINCT p_brand AS owner FROM part")
 def distinct_owners(t: Tables) -> DataFrame:
     return combine.distinct_values(s.repo(t.part), "owner")

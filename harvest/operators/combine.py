@@ -35,6 +35,16 @@ def exclusive(df: DataFrame, job: str = "job", id: str = "id") -> DataFrame:
     return lowest_highest.filter(F.col("job") == F.col("_highest")).select(id, F.col("job").alias(job))
 
 
+def in_both(left: DataFrame, right: DataFrame, col: str = "id") -> DataFrame:
+    """Distinct values that two inputs share."""
+    return left.select(col).intersect(right.select(col))
+
+
+def only_left(left: DataFrame, right: DataFrame, col: str = "id") -> DataFrame:
+    """Values of the first input that the second lacks, each as often as it is left over."""
+    return left.select(col).exceptAll(right.select(col))
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 

@@ -58,13 +58,17 @@ def _probes(repos: DataFrame, columns: Mapping[str, str], scheme: str, id: str,
     # The bands get columns of their own, so that each is looked up once and not once per strategy.
     banded = repos.select(F.col(id).alias("id"), *[value.alias(name) for name, value in fields.items()])
     fields = {name: F.col(name) for name in fields}
+
+    def per_topic(query: str) -> Column:
+        return F.transform(F.array_distinct("topic"), lambda topic: render(query, {**fields, "topic": topic}))
+
     probes = []
-    for strategy, lists, templates in plan.strategies:
+    for strategy, _, templates in plan.strategies:
         query = templates[0][0]
         if strategy == "special" or not fields_of(query) <= set(fields):
             continue
         if strategy == "topic" and banded.schema["topic"].dataType.typeName() == "array":
-            probes.append(F.transform(F.array_distinct("topic"), lambda t, q=query: render(q, {**fields, "topic": t})))
+            probes.append(per_topic(query))
         else:
             probes.append(F.array(render(query, fields)))
     if not probes:

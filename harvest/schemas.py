@@ -4,32 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+_LONG, _INT, _TEXT, _BOOL, _TIME = T.LongType(), T.IntegerType(), T.StringType(), T.BooleanType(), T.TimestampNTZType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 # Key names of a search response and of the tables built from it.
-NODE = T.StructType.fromDDL(
-    "databaseId bigint, name string, url string, createdAt string, stargazerCount bigint, forkCount bigint, "
-    "primaryLanguage struct<name: string>, owner struct<login: string>, licenseInfo struct<name: string>, "
-    "pushedAt string, updatedAt string"
+NODE = _struct(
+    databaseId=_LONG,
+    name=_TEXT,
+    url=_TEXT,
+    createdAt=_TEXT,
+    stargazerCount=_LONG,
+    forkCount=_LONG,
+    primaryLanguage=_struct(name=_TEXT),
+    owner=_struct(login=_TEXT),
+    licenseInfo=_struct(name=_TEXT),
+    pushedAt=_TEXT,
+    updatedAt=_TEXT,
 )
 # Nodes stay raw JSON text, so that an absent key and a null value can be told apart. rateLimit is a map for the
 # same reason: a page without `remaining` is unusable, a page whose `remaining` is null is usable and ends its chain.
-PAGE_BODY = T.StructType.fromDDL(
-    "data struct<"
-    "search: struct<pageInfo: struct<endCursor: string, hasNextPage: boolean>, repositoryCount: bigint, nodes: array<string>>, "
-    "rateLimit: map<string, string>>, "
-    "errors array<string>"
+PAGE_BODY = _struct(
+    data=_struct(
+        search=_struct(
+            pageInfo=_struct(endCursor=_TEXT, hasNextPage=_BOOL),
+            repositoryCount=_LONG,
+            nodes=T.ArrayType(_TEXT),
+        ),
+        rateLimit=T.MapType(_TEXT, _TEXT),
+    ),
+    errors=T.ArrayType(_TEXT),
 )
 # `text` is the raw response of a request that did not answer with the JSON body (an error page).
-PAGE = T.StructType(
-    T.StructType.fromDDL("http_status int, job int, query_idx int, page_idx int, attempt int, text string").fields
-    + [T.StructField("body", PAGE_BODY)]
-)
-REPO_RECORD = T.StructType.fromDDL(
-    "id bigint, name string, owner string, url string, stars bigint, created_at timestamp_ntz, pushed_at timestamp_ntz, "
-    "updated_at timestamp_ntz, primary_language string, fork_count bigint, license_name string"
+PAGE = _struct(
+    http_status=_INT, job=_INT, query_idx=_INT, page_idx=_INT, attempt=_INT, text=_TEXT, body=PAGE_BODY
 )
-QUERY = T.StructType.fromDDL(
-    "job bigint, query_idx int, query_string string, description string, expected_results int"
+REPO_RECORD = _struct(
+    id=_LONG,
+    name=_TEXT,
+    owner=_TEXT,
+    url=_TEXT,
+    stars=_LONG,
+    created_at=_TIME,
+    pushed_at=_TIME,
+    updated_at=_TIME,
+    primary_language=_TEXT,
+    fork_count=_LONG,
+    license_name=_TEXT,
 )
+QUERY = _struct(job=_LONG, query_idx=_INT, query_string=_TEXT, description=_TEXT, expected_results=_INT)
 EXPORT_COLUMNS = ["id", "name", "name_with_owner", "url", "created_at", "stars", "crawled_at"]
 
 PAGE_KEY = ["job", "query_idx", "page_idx"]

@@ -117,5 +117,8 @@ def store_stats(
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "id") -> None:
-    """Save as a bucketed catalog table. An upsert into spark.table(table) then moves only the batch, not the table."""
+    """Save as a bucketed catalog table. An upsert into spark.table(table) then moves only the batch, not the table.
+
+    Take at least as many buckets as the session has shuffle partitions, else Spark moves the table after all.
+    """
     df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

@@ -34,13 +34,26 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def compare(df, con, sql: str) -> str | None:
     """None if equal, else what differs."""
+    got_types = {name: TYPES[kind] for name, kind in df.dtypes}
+    types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if got_types != types:
+        return f"types {sorted(got_types.items())} instead of {sorted(types.items())}"
     result = con.execute(sql)
     names = [column[0] for column in result.description]
     expected = rows_of(names, result.fetchall())
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} instead of {sorted(names)}"
     got = rows_of(df.columns, [tuple(row) for row in df.collect()])
     if got == expected:
         return None
