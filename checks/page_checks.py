@@ -27,7 +27,7 @@ def page_status(t: Tables) -> DataFrame:
     """
 )
 def last_attempt(t: Tables) -> DataFrame:
-    return pages.last_attempt(s.pages(t.events).select("job", "query_idx", "page_idx", "attempt"))
+    return pages.last_attempt(s.page_texts(t.events).select("job", "query_idx", "page_idx", "attempt"))
 
 
 @check(f"WITH {s.PAGES_SQL}, {s.CHAIN_SQL.format(clean='')} SELECT job, query_idx, page_idx, attempt FROM reached")

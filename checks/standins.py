@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from harvest.operators.ranking import default_salts
 from harvest.sources.pages import parse_pages
 
 FETCHED = "2024-03-01"
@@ -187,7 +188,9 @@ def _node(i: Column) -> Column:
 def page_texts(events: DataFrame) -> DataFrame:
     """Landing columns and the response text of every page attempt."""
     kind, value, id = F.col("event_type"), F.col("value"), F.col("event_id")
-    rows = events.select(
+    # A row of a few bytes grows to a page of 1,200: spread the small rows first, so that all cores share the text work.
+    spread = events.select(id, kind, value, "props").repartition(default_salts(events.sparkSession), id)
+    rows = spread.select(
         id, kind, value, F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         F.explode(F.when(kind == "view", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("attempt"),
     )

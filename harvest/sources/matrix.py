@@ -80,33 +80,41 @@ def fields_of(template: str) -> set[str]:
     return {field for _, field, _, _ in Formatter().parse(template) if field}
 
 
-def _pick(values: list, index: Column, kind: str = "string") -> Column:
-    """The list entry at a 1-based position. The list is one text literal that Spark folds to a constant array."""
-    text = F.split(F.lit("|".join("" if value is None else str(value) for value in values)), r"\|")
-    entries = text if kind == "string" else text.try_cast(f"array<{kind}>")
-    return F.element_at(entries, index)
+def _constant(values: list, kind: str = "string") -> Column:
+    """A list as one text literal that Spark folds to a constant array; None becomes NULL."""
+    entries = F.split(F.lit("|".join("" if value is None else str(value) for value in values)), r"\|")
+    return entries if kind == "string" else entries.try_cast(f"array<{kind}>")
 
 
-def _row(strategy: str, template, texts: dict[str, Column], index: dict[str, Column], scheme: Scheme) -> Column:
+class _Lists:
+    """Constant arrays of a scheme: the list entries, and the bounds of entries that are ranges."""
+
+    def __init__(self, scheme: Scheme):
+        self.sizes = {name: len(entries) for name, entries in scheme.lists.items()} | {"special": len(scheme.specials)}
+        self.entries = {name: _constant(entries) for name, entries in scheme.lists.items()}
+        self.entries["special"] = _constant([query for query, _ in scheme.specials])
+        self.entries["special_description"] = _constant([text for _, text in scheme.specials])
+        self.bounds = {}
+        for name, (label, kind) in _BOUNDED.items():
+            sql = "date" if name == "created" else "bigint"
+            for side, suffix in enumerate(("lo", "hi")):
+                ends = [bounds(band, kind)[side] for band in scheme.lists.get(name, [])]
+                self.bounds[f"{label}_{suffix}"] = (name, _constant(ends, sql), F.lit(None).cast(sql))
+
+
+def _row(strategy: str, template, texts: dict[str, Column], index: dict[str, Column], lists: _Lists) -> Column:
     """One matrix row: rendered texts, and the bounds of the lists that the query names (NULL = free)."""
     query, description, expected = template
-    used = fields_of(query)
+    used, none = fields_of(query), F.lit(None).cast("string")
     columns = [
         render(query, texts).alias("query_string"),
         render(description, texts).alias("description"),
         F.lit(expected).alias("expected_results"),
         F.lit(strategy).alias("strategy"),
+        *[(texts[name] if name in used else none).alias(name) for name in _PLAIN],
     ]
-    for name in _PLAIN:
-        columns.append((texts[name] if name in used else F.lit(None).cast("string")).alias(name))
-    for name, (label, kind) in _BOUNDED.items():
-        sql = "date" if name == "created" else "bigint"
-        for side, suffix in enumerate(("lo", "hi")):
-            if name in used:
-                value = _pick([bounds(band, kind)[side] for band in scheme.lists[name]], index[name], sql)
-            else:
-                value = F.lit(None).cast(sql)
-            columns.append(value.alias(f"{label}_{suffix}"))
+    for column, (name, ends, free) in lists.bounds.items():
+        columns.append((F.element_at(ends, index[name]) if name in used else free).alias(column))
     return F.struct(*columns)
 
 
@@ -117,24 +125,22 @@ def queries_for(jobs: DataFrame, scheme: str = "fine", job: str = "job") -> Data
     rest, the first list fastest. Both use the same number, so parts of the lists are never reached.
     """
     plan = scheme_of(scheme)
+    lists = _Lists(plan)
     number = F.col("job")
     per_strategy = []
-    for strategy, lists, templates in plan.strategies:
+    for strategy, names, templates in plan.strategies:
         texts, index, step = {"job": number.cast("string")}, {}, 1
-        for name in lists:
-            entries = plan.specials if name == "special" else plan.lists[name]
-            # 1-based position in the list
-            index[name] = (F.expr(f"job div {step}") % len(entries) + 1).cast("int")
-            if name == "special":
-                texts[name] = _pick([query for query, _ in entries], index[name])
-                texts["special_description"] = _pick([text for _, text in entries], index[name])
-            else:
-                texts[name] = _pick(entries, index[name])
-            step *= len(entries)
-        per_strategy.append(F.array(*[_row(strategy, t, texts, index, plan) for t in templates]))
+        for name in names:
+            size = lists.sizes[name]
+            index[name] = F.expr(f"CAST(job div {step} % {size} + 1 AS INT)")  # 1-based
+            texts[name] = F.element_at(lists.entries[name], index[name])
+            step *= size
+        if "special" in names:
+            texts["special_description"] = F.element_at(lists.entries["special_description"], index["special"])
+        per_strategy.append(F.array(*[_row(strategy, t, texts, index, lists) for t in templates]))
     chosen = per_strategy[-1]
-    for number_of, rows in reversed(list(enumerate(per_strategy[:-1]))):
-        chosen = F.when(number % len(per_strategy) == number_of, rows).otherwise(chosen)
+    for turn, rows in reversed(list(enumerate(per_strategy[:-1]))):
+        chosen = F.when(number % len(per_strategy) == turn, rows).otherwise(chosen)
     numbered = jobs.select(F.col(job).cast("bigint").alias("job"))
     return numbered.select("job", F.posexplode(chosen).alias("query_idx", "q")).select("job", "query_idx", "q.*")
 
