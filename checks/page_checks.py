@@ -36,7 +36,7 @@ def valid_page_chain(t: Tables) -> DataFrame:
     return pages.valid_pages(pages.last_attempt(flagged)).drop("ok", "has_next")
 
 
-def _replay_sql(clean: str) -> str:
+def replay_sql(clean: str) -> str:
     return f"""
     WITH {s.PAGES_SQL}, {s.CHAIN_SQL.format(clean=clean)},
     hits AS (
@@ -51,12 +51,12 @@ def _replay_sql(clean: str) -> str:
     """
 
 
-@check(_replay_sql(s.CLEAN_SQL))
+@check(replay_sql(s.CLEAN_SQL))
 def replay(t: Tables) -> DataFrame:
     return run_replay(s.pages(t.events), TARGET, "page")
 
 
-@check(_replay_sql(""))
+@check(replay_sql(""))
 def replay_skipping_bad_rows(t: Tables) -> DataFrame:
     return run_replay(s.pages(t.events), TARGET, "row")
 

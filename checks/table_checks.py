@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import standins as s
 from checks.catalog import Tables, check
+from checks.page_checks import TARGET, replay_sql
 from harvest.operators import combine, coverage, history, measure, upsert
-from harvest.plans.load import Roots, load_records
+from harvest.plans.load import Roots, export_latest, harvest_pages, load_records
 from harvest.sources import matrix, matrix_values as v
 from harvest.sources.exports import export_csv, write_jobs
 from harvest.sources.scratch import new_path
@@ -17,6 +18,7 @@ from harvest.sources.tables import publish_repo, read_repo, read_stats, store_re
 from harvest.streaming.ingest import ingest_stream
 
 DAY = dt.date.fromisoformat(s.FETCHED)
+_EXPORT_SCHEMA = "id bigint, name string, name_with_owner string, url string, created_at string, stars int, crawled_at date"
 
 _FOLD_SQL = f"""
     WITH {s.CUSTOMER_REPO_SQL}, {s.ORDER_BATCH_SQL},
@@ -440,6 +442,26 @@ def uncovered_repos(t: Tables) -> DataFrame:
     return coverage.uncovered(_coded(t), _matrix(t, "coarse"), _COVER, "coarse")
 
 
+@check(
+    f"""
+    WITH {s.REPO_SQL}, counted AS (
+      SELECT CASE WHEN stars * 7 BETWEEN 0 AND 2 THEN 1 WHEN stars * 7 BETWEEN 3 AND 8 THEN 2 WHEN stars * 7 BETWEEN 9 AND 25 THEN 3
+                  WHEN stars * 7 BETWEEN 26 AND 80 THEN 4 WHEN stars * 7 BETWEEN 81 AND 300 THEN 5 END AS place
+      FROM repo
+    ),
+    listed(place, query_string) AS (
+      VALUES (1, 'is:public stars:0..2 sort:updated'), (2, 'is:public stars:3..8 sort:stars'), (3, 'is:public stars:9..25 sort:updated'),
+             (4, 'is:public stars:26..80 sort:stars'), (5, 'is:public stars:81..300 sort:updated')
+    )
+    SELECT query_string, count(counted.*) AS repos FROM listed FULL JOIN (SELECT place, 1 AS one FROM counted) counted USING (place)
+    GROUP BY query_string
+    """
+)
+def single_job_coverage(t: Tables) -> DataFrame:
+    """Parts by the queries of the one-job list, which reach up to 300 stars."""
+    return coverage.single_job_counts(s.repo(t.part).withColumn("stars", F.col("stars") * 7))
+
+
 # Outputs: written under the shared folder and read back
 
 
@@ -470,8 +492,7 @@ def stored_stats(t: Tables) -> DataFrame:
 def csv_export(t: Tables) -> DataFrame:
     path = new_path(t.spark, "export")
     export_csv(export_view(t), path)
-    schema = "id bigint, name string, name_with_owner string, url string, created_at string, stars int, crawled_at date"
-    return t.spark.read.schema(schema).option("header", True).csv(path)
+    return t.spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(path)
 
 
 @check(f"WITH {s.CUSTOMER_REPO_SQL} SELECT alphabet_partition, count(*) AS rows FROM target GROUP BY 1")
@@ -508,7 +529,7 @@ def loaded_records(t: Tables) -> DataFrame:
             "created_at": F.lit(None).cast("timestamp_ntz"),
         }
     )
-    load_records(rows, roots, DAY)
+    load_records(rows, roots, DAY, label="check")
     stored = read_stats(t.spark, roots.stats).join(
         read_repo(t.spark, roots.repo).select(F.col("id").alias("repo_id")), "repo_id", "left_semi"
     )
@@ -518,6 +539,24 @@ def loaded_records(t: Tables) -> DataFrame:
     )
 
 
+@check(
+    f"""
+    WITH replayed AS ({replay_sql(s.CLEAN_SQL)}),
+    first AS (SELECT * FROM replayed QUALIFY row_number() OVER (PARTITION BY id ORDER BY job) = 1),
+    last AS (SELECT * FROM replayed QUALIFY row_number() OVER (PARTITION BY id ORDER BY job DESC) = 1)
+    SELECT f.id, f.name, f.owner || '/' || f.name AS name_with_owner, f.url,
+           strftime(f.created_at, '%Y-%m-%d %H:%M:%S') AS created_at, CAST(l.stars AS INTEGER) AS stars, DATE '{s.FETCHED}' AS crawled_at
+    FROM first f JOIN last l USING (id)
+    """
+)
+def whole_run(t: Tables) -> DataFrame:
+    """Landed pages replayed, stored and exported."""
+    roots, path = _new_roots(t), new_path(t.spark, "export")
+    harvest_pages(s.pages(t.events), roots, DAY, TARGET, label="check")
+    export_latest(t.spark, roots, path)
+    return t.spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(path)
+
+
 @check(
     f"""
     WITH {s.PAGES_SQL}, hits AS (SELECT * FROM nodes WHERE status IN ('ok', 'ok_with_errors') AND id > 0),

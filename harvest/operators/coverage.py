@@ -7,7 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harvest.sources.matrix import bounds, fields_of, render, scheme_of
+from harvest.sources.matrix import bounds, fields_of, render, scheme_of, single_job_queries
 from harvest.sources.matrix_values import LICENSE_NAMES
 
 
@@ -113,3 +113,15 @@ def uncovered(
     probes = _probes(repos, columns, scheme, id, F.explode_outer)
     marked = probes.join(F.broadcast(_primary(matrix).withColumn("_hit", F.lit(1))), "query_string", "left")
     return marked.groupBy("id").agg(F.count("_hit").alias("_hits")).filter(F.col("_hits") == 0).select("id")
+
+
+def single_job_counts(repos: DataFrame, stars: str = "stars", scheme: str = "fine") -> DataFrame:
+    """Rows that each query of the one-job list covers, and rows that none covers (NULL query)."""
+    texts = {query.split("stars:")[1].split()[0]: query for query, _, _ in scheme_of(scheme).single}
+    counts = repos.groupBy(band_of(f"`{stars}`", list(texts)).alias("band")).agg(F.count(F.lit(1)).alias("repos"))
+    queries = single_job_queries(repos.sparkSession, scheme).select(
+        F.regexp_extract("query_string", r"stars:(\S+)", 1).alias("band"), "query_string"
+    )
+    joined = counts.join(F.broadcast(queries), "band", "left").select("query_string", "repos")
+    empty = queries.join(counts, "band", "left_anti").select("query_string", F.lit(0).cast("bigint").alias("repos"))
+    return joined.unionByName(empty)

@@ -21,21 +21,26 @@ def default_salts(spark: SparkSession) -> int:
 def top_n(
     df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int, salts: int | None = None
 ) -> DataFrame:
-    """First `n` rows of every group in a total order.
+    """First `n` rows of every group in a total order; without `by`, of the whole table.
 
     Done in two steps: the first n of each (group, salt), then the first n of what is left of the group. A group
     with a third of all rows is thus spread over many tasks, and the last step sees at most n x salts rows of it.
-    `salts=1` saves the first shuffle where groups are known to be small.
+    `salts=1` saves the first shuffle where groups are known to be small. Map tasks prune to n rows by themselves
+    if n is within spark.sql.optimizer.windowGroupLimitThreshold, see `harvest.settings`.
     """
     if n <= 0:
         return df.limit(0)
     salts = default_salts(df.sparkSession) if salts is None else salts
-    rank = lambda *keys: F.row_number().over(W.partitionBy(*keys).orderBy(*columns(order)))
+    by, order = list(by), columns(order)
     if salts > 1:
-        # Input partitions are dealt to the salts, so that a map task prunes each group to n rows by itself.
-        df = df.withColumn("_salt", F.spark_partition_id() % salts)
-        df = df.withColumn("_rank", rank(*by, "_salt")).filter(F.col("_rank") <= n).drop("_salt", "_rank")
-    return df.withColumn("_rank", rank(*by)).filter(F.col("_rank") <= n).drop("_rank")
+        # Input partitions are dealt to the salts, so that all rows of a map task share one salt.
+        df = _first(df.withColumn("_salt", F.spark_partition_id() % salts), [*by, "_salt"], order, n).drop("_salt")
+    return _first(df, by, order, n) if by else df.orderBy(*order).limit(n)
+
+
+def _first(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def first_seen(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column | str] | Column | str) -> DataFrame:
@@ -43,9 +48,7 @@ def first_seen(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column
 
     Map tasks keep one row per key before the shuffle, so a key with very many copies does no harm.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*columns(order)))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return _first(df, [keys] if isinstance(keys, str) else list(keys), columns(order), 1)
 
 
 def cap(
@@ -56,9 +59,7 @@ def cap(
     salts: int | None = None,
 ) -> DataFrame:
     """Cut every job at its target: the first `n` rows in crawl order; without `by`, of the whole table."""
-    if by is None:
-        return df.orderBy(*columns(order)).limit(n)
-    return top_n(df, [by] if isinstance(by, str) else list(by), order, n, salts)
+    return top_n(df, [by] if isinstance(by, str) else list(by or ()), order, n, salts)
 
 
 def ranked(df: DataFrame, by: str = "stars", id: str = "id") -> DataFrame:

@@ -1,19 +1,21 @@
-"""Records of a run into the tables: check, stage, upsert, report."""
+"""A run into the tables and out again: replay, check, stage, upsert, report, export."""
 
 from __future__ import annotations
 
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harvest.functions.names import with_fetched, with_partition
-from harvest.operators.measure import load_report
+from harvest.operators.combine import export_view
+from harvest.operators.history import latest_stats
+from harvest.operators.measure import crawl_metrics, load_report
 from harvest.operators.records import marked, repo_reason, table_reason
-from harvest.plans.replay import CRAWL_ORDER
-from harvest.sources.exports import write_bad
+from harvest.plans.replay import CRAWL_ORDER, replay
+from harvest.sources.exports import export_csv, write_bad
 from harvest.sources.scratch import written
-from harvest.sources.tables import store_repo, store_stats
+from harvest.sources.tables import read_repo, read_stats, store_repo, store_stats
 
 
 class Roots(NamedTuple):
@@ -24,6 +26,13 @@ class Roots(NamedTuple):
     bad: str
 
 
+class Loaded(NamedTuple):
+    """Outcome of a load: stored and failed rows by reason, and the metrics of every job's stored rows."""
+
+    report: DataFrame
+    metrics: DataFrame
+
+
 WRITE_ORDER = ["job", *CRAWL_ORDER]
 
 
@@ -39,11 +48,12 @@ def load_records(
     date: dt.date,
     policy: str = "keep_first",
     label: str | None = None,
-) -> DataFrame:
-    """Store the records of one or more jobs and return the report of stored and failed rows.
+    target: int = 4000,
+) -> Loaded:
+    """Store the records of one or more jobs.
 
-    The checked records are staged once; both tables, the rejected rows and the report read the staged copy. Loading the
-    same records again changes neither table; give the same `label` to replace the rejected rows as well.
+    The checked records are staged once; both tables, the rejected rows, the report and the metrics read the staged
+    copy. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
     """
     staged = written(checked_records(records, date), "records")
     good = staged.filter(F.col("reason").isNull())
@@ -51,4 +61,22 @@ def load_records(
     stats = good.select(F.col("id").alias("repo_id"), "fetched_date", F.col("stars").cast("int").alias("stars"), *WRITE_ORDER)
     store_stats(stats, roots.stats, WRITE_ORDER, [date])
     write_bad(staged.filter(F.col("reason").isNotNull()), roots.bad, label)
-    return load_report(staged)
+    return Loaded(load_report(staged), crawl_metrics(good, ["job"], target=target))
+
+
+def harvest_pages(
+    pages: DataFrame,
+    roots: Roots,
+    date: dt.date,
+    target: int = 4000,
+    on_bad: str = "page",
+    policy: str = "keep_first",
+    label: str | None = None,
+) -> Loaded:
+    """A whole run on landed pages: replay the jobs, store what they collect, measure it."""
+    return load_records(replay(pages, target, on_bad), roots, date, policy, label, target)
+
+
+def export_latest(spark: SparkSession, roots: Roots, path: str, files: int | None = None) -> None:
+    """Replace the CSV export by the repo table with the newest star count of every row."""
+    export_csv(export_view(read_repo(spark, roots.repo), latest_stats(read_stats(spark, roots.stats))), path, files)

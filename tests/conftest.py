@@ -9,14 +9,16 @@ from pyspark.sql import SparkSession
 sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 
 
+from harvest.settings import configure  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder.master("local[8]"))
         .appName("harvest-tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", str(folder / "shared"))

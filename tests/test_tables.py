@@ -228,8 +228,9 @@ def test_load(spark, tmp_path):
     roots = Roots(*(str(tmp_path / name) for name in ("repo", "stats", "bad")))
     rows = [(0, 0, 0, 0, 1, "a", "x", "u", 5, None), (1, 0, 0, 0, 1, "a", "x", "u", 6, None), (1, 0, 0, 1, 2, "", "x", "u", 6, None)]
     for _ in range(2):
-        report = load_records(spark.createDataFrame(rows, RECORDS), roots, DAY, label="run")
-        assert {r.outcome: r.rows for r in report.collect()} == {"stored": 2, "name_or_owner_empty": 1}
+        loaded = load_records(spark.createDataFrame(rows, RECORDS), roots, DAY, label="run")
+        assert {r.outcome: r.rows for r in loaded.report.collect()} == {"stored": 2, "name_or_owner_empty": 1}
+        assert sorted((r.job, r.rows, r.total_stars, r.shortfall) for r in loaded.metrics.collect()) == [(0, 1, 5, 3999), (1, 1, 6, 3999)]
         assert content(read_repo(spark, roots.repo)) == {1: ("a", "x", "matrix_1", "x/a")}
         assert [(r.repo_id, r.stars) for r in read_stats(spark, roots.stats).collect()] == [(1, 6)]
         assert spark.read.parquet(roots.bad).count() == 1
