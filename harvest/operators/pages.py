@@ -33,7 +33,7 @@ def status_of() -> Column:
     telling = F.try_element_at(F.filter(kinds, lambda k: k.isNotNull()), F.lit(1))
     search = body["data"]["search"]
     complete = (
-        search["nodes"].isNotNull()
+        search["nodes"].startswith("[")
         & search["pageInfo"].isNotNull()
         & search["repositoryCount"].isNotNull()
         & F.map_contains_key(body["data"]["rateLimit"], "remaining")
@@ -85,7 +85,7 @@ def page_flags(pages: DataFrame) -> DataFrame:
 
 def query_yield(pages: DataFrame) -> DataFrame:
     """Rows a query returned against the result count its pages report."""
-    rows = F.coalesce(F.size(nodes_of()), F.lit(0))
+    rows = F.coalesce(F.json_array_length(nodes_of()), F.lit(0))
     return pages.groupBy("job", "query_idx").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum(rows).alias("rows"),

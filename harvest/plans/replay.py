@@ -10,16 +10,16 @@ from harvest.operators.pages import MAX_PAGES, last_attempt, page_flags, valid_p
 from harvest.operators.ranking import cap, first_seen
 from harvest.operators.records import record_fields
 from harvest.schemas import PAGE_KEY
-from harvest.sources.pages import nodes_of, parsed_nodes
+from harvest.sources.pages import node_pairs, with_typed_nodes
 
 CRAWL_ORDER = ["query_idx", "page_idx", "pos"]
 
 
 def node_records(nodes: Column) -> Column:
-    """Raw nodes to an array of (record fields, reason), in page order. Each step's result is used by the next, not repeated."""
+    """An array of (raw, node) to an array of (record fields, reason), in page order."""
+    # The parsed time is used twice, so it is put beside the node first.
     timed = F.transform(
-        parsed_nodes(nodes),
-        lambda n: F.struct(n["raw"].alias("raw"), n["node"].alias("node"), parse_ts(n["node"]["createdAt"]).alias("at")),
+        nodes, lambda n: F.struct(n["raw"].alias("raw"), n["node"].alias("node"), parse_ts(n["node"]["createdAt"]).alias("at"))
     )
     return F.transform(
         timed,
@@ -32,7 +32,8 @@ def node_records(nodes: Column) -> Column:
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """Page keys, attempt, status flags and the node records: all that later steps need, without the page text."""
-    return page_flags(pages).select(*PAGE_KEY, "attempt", "status", "ok", "has_next", node_records(nodes_of()).alias("records"))
+    records = node_records(node_pairs()).alias("records")
+    return with_typed_nodes(page_flags(pages)).select(*PAGE_KEY, "attempt", "status", "ok", "has_next", records)
 
 
 def replay(

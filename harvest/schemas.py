@@ -25,14 +25,14 @@ NODE = _struct(
     pushedAt=_TEXT,
     updatedAt=_TEXT,
 )
-# Nodes stay raw JSON text, so that an absent key and a null value can be told apart. rateLimit is a map for the
-# same reason: a page without `remaining` is unusable, a page whose `remaining` is null is usable and ends its chain.
+# The array of nodes stays raw JSON text, so that an absent key and a null value can be told apart. rateLimit is a map for
+# the same reason: a page without `remaining` is unusable, a page whose `remaining` is null is usable and ends its chain.
 PAGE_BODY = _struct(
     data=_struct(
         search=_struct(
             pageInfo=_struct(endCursor=_TEXT, hasNextPage=_BOOL),
             repositoryCount=_LONG,
-            nodes=T.ArrayType(_TEXT),
+            nodes=_TEXT,
         ),
         rateLimit=T.MapType(_TEXT, _TEXT),
     ),

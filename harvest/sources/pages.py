@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from harvest.schemas import NODE, PAGE, PAGE_BODY
 
@@ -24,20 +26,44 @@ def parse_pages(df: DataFrame, body_col: str) -> DataFrame:
 
 
 def nodes_of(body: Column | str = "body") -> Column:
+    """JSON text of the node array of a page."""
     body = F.col(body) if isinstance(body, str) else body
     return body["data"]["search"]["nodes"]
 
 
-def parsed_nodes(nodes: Column) -> Column:
-    """An array of raw nodes as an array of (raw JSON text, parsed node)."""
-    return F.transform(nodes, lambda raw: F.struct(raw.alias("raw"), F.from_json(raw, NODE).alias("node")))
+def _incomplete(node: Column) -> Column:
+    required = [node["databaseId"], node["name"], node["owner"]["login"], node["url"], node["stargazerCount"]]
+    return reduce(Column.__or__, [value.isNull() for value in required])
+
+
+def with_typed_nodes(pages: DataFrame) -> DataFrame:
+    """Add `_typed`, the parsed array of nodes: a column of its own, because `node_pairs` uses it several times."""
+    return pages.withColumn("_typed", F.from_json(nodes_of(), T.ArrayType(NODE)))
+
+
+def node_pairs() -> Column:
+    """The array of (raw, node) of a page with `_typed`: the parsed nodes, and each one's own JSON text if the page has a
+    node without a value for a required key, for then it matters whether the key was there. Other pages are parsed once.
+    """
+    typed, texts = F.col("_typed"), F.from_json(nodes_of(), T.ArrayType(T.StringType()))
+
+    def pair(raw: Column, node: Column) -> Column:
+        return F.struct(raw.cast("string").alias("raw"), node.alias("node"))
+
+    return (
+        # An element that is not an object voids the whole array, so such a page is parsed node by node.
+        F.when(typed.isNull(), F.transform(texts, lambda raw: pair(raw, F.from_json(raw, NODE))))
+        .when(F.exists(typed, _incomplete), F.zip_with(texts, typed, pair))
+        .otherwise(F.transform(typed, lambda node: pair(F.lit(None), node)))
+    )
 
 
 def explode_nodes(pages: DataFrame) -> DataFrame:
-    """One row per node with its position in the page: page columns, pos, raw (JSON text), node (parsed).
+    """One row per node with its position in the page: page columns, pos, raw (JSON text if incomplete), node (parsed).
 
-    Nodes are parsed before they are unpacked, for the reason given in `parse_pages`.
+    Nodes are parsed before they are unpacked, for the reason given in `parse_pages`. What is unpacked is an expression
+    and not a column, for which Spark would add a filter on its size, with copies of the parser again.
     """
     keep = [c for c in pages.columns if c not in ("body", "text")]
-    rows = pages.select(*keep, F.posexplode(parsed_nodes(nodes_of())).alias("pos", "n"))
+    rows = with_typed_nodes(pages).select(*keep, F.posexplode(node_pairs()).alias("pos", "n"))
     return rows.select(*keep, "pos", "n.raw", "n.node")
