@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from typing import Any
 
@@ -13,16 +14,23 @@ EQUAL_QUALIFIERS = ["language", "license", "is", "fork", "archived", "template",
 MEMBER_QUALIFIERS = ["topic", "has"]
 
 
+def _literal(bound: Any) -> Column:
+    """A bound as a literal; a time without zone stays one, whatever the session time zone is."""
+    if isinstance(bound, dt.datetime) and bound.tzinfo is None:
+        return F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(bound)
+
+
 def in_range(value: Column, bounds: tuple[Any, Any]) -> Column:
     """Inclusive range; None leaves a side open."""
     low, high = bounds
     if low is None and high is None:
         raise ValueError("a range needs at least one bound")
     if low is None:
-        return value <= F.lit(high)
+        return value <= _literal(high)
     if high is None:
-        return value >= F.lit(low)
-    return value.between(F.lit(low), F.lit(high))
+        return value >= _literal(low)
+    return value.between(_literal(low), _literal(high))
 
 
 def predicate(spec: Mapping[str, Any], columns: Mapping[str, str]) -> Column:
@@ -45,7 +53,7 @@ def predicate(spec: Mapping[str, Any], columns: Mapping[str, str]) -> Column:
             if isinstance(wanted, Mapping):
                 if not wanted or set(wanted) - {">", "<"}:
                     raise ValueError(f"bounds of {name!r} are (low, high) or use '>' and '<'")
-                terms += [value > F.lit(bound) if sign == ">" else value < F.lit(bound) for sign, bound in wanted.items()]
+                terms += [value > _literal(bound) if sign == ">" else value < _literal(bound) for sign, bound in wanted.items()]
             else:
                 terms.append(in_range(value, wanted))
         elif name in EQUAL_QUALIFIERS:
