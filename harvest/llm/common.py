@@ -68,3 +68,8 @@ def with_running(df: DataFrame, amounts: dict[str, Column], group: list[str], pa
     match = [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in [*group, part]]
     out = local.join(bases, match)
     return out.select(*(quoted(c) for c in df.columns), *((F.col(f"__base_{n}") + F.col(f"__local_{n}")).alias(n) for n in amounts))
+
+
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]

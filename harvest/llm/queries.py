@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvest.llm import mixing, neardup, packing, quality, sharding, tokens, toxicity
+from harvest.llm import chat, cleaning, merkle, mixing, neardup, packing, quality, sharding, tokens, toxicity
 from harvest.llm.common import held_out
 
 QUERIES: dict = {}
@@ -50,6 +50,11 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.length_histogram(table(spark, folder, "documents"))
 
 
+@query(chat.SQL)
+def op5_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digests(chat.windows(chat.with_sample(table(spark, folder, "conversations"))))
+
+
 @query()
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -68,3 +73,26 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = (F.col("size") * F.col("copies")).cast("long")
     return mixing.copies(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", "rate", "source")
+
+
+@query(merkle.SQL)
+def op9_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = merkle.compared(table(spark, folder, "documents"))
+    own, edited, following = (F.col(f"tree.{name}") for name in ("own", "edited", "next"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        own["root"].alias("fingerprint"),
+        edited["root"].alias("edited_fingerprint"),
+        merkle.likeness(own, edited).alias("near_edited"),
+        merkle.likeness(own, following).alias("near_next"),
+        F.size(merkle.differing_paragraphs(own, edited)).alias("n_differing"),
+    )
+
+
+@query(cleaning.SQL)
+def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = cleaning.judged(table(spark, folder, "documents").select("doc_id", "text"))
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "words_left"]
+    return judged.select("doc_id", *figures, "base_failed", "kept")
