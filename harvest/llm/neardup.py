@@ -24,6 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from harvest.llm.common import quoted
@@ -61,7 +62,7 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield pd.Series([fingerprint(t) for t in texts], dtype="int64")
@@ -206,8 +207,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     # At most 65 different fingerprints lie within distance 1 of a point.
     met = points.groupBy("point").agg(F.collect_set("bits").alias("near")).where(F.size("near") > 1)
     star = met.select(F.array_min("near").alias("v"), F.explode("near").alias("u")).where("u <> v")
-    if radius < 2:
-        star = star.where(differ <= radius)
+    if radius < 2:  # two fingerprints differ in one bit just if one of them is a point of the other
+        star = met.where(F.array_contains("near", F.col("point")) & (F.lit(radius) == 1)).select(F.col("point").alias("v"), F.explode("near").alias("u")).where("u <> v")
     return pairs.union(star.select("u", "v")).distinct()
 
 

@@ -24,6 +24,8 @@ from harvest.sources.scratch import written
 VOCABULARY = "word_bpe_49k.json"
 #: Pieces of lower-case Latin-1 text, as the pre-tokenizer of the vocabulary cuts them.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x09-\x0d\x20\x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+#: What lies between white space; the separators U+001C to U+001F are no white space to the vocabulary.
+SPACED = re.compile(r"(?:\S|[\x1c-\x1f])+")
 MOST_PIECES = 600_000
 LONG = 64
 
@@ -87,7 +89,7 @@ class Encoder:
             text.encode("latin-1")
             return self._latin(text)
         except UnicodeEncodeError:
-            return b"".join(map(self._word, text.split()))
+            return b"".join(map(self._word, SPACED.findall(text)))
 
 
 def with_length(docs: DataFrame, to: str = "length", text: str = "text", path: str | None = None) -> DataFrame:
