@@ -578,6 +578,6 @@ def stream_ingest(t: Tables) -> DataFrame:
     )
     landed.select(F.concat(F.expr("substr(head, 1, length(head) - 1)"), tail)).write.text(landing)
     roots = _new_roots(t)
-    ingest_stream(t.spark, landing, roots, checkpoint, DAY).awaitTermination()
+    ingest_stream(t.spark, landing, roots, checkpoint, DAY, max_files=2).awaitTermination()
     stats = read_stats(t.spark, roots.stats).select(F.col("repo_id").alias("id"), "stars")
     return read_repo(t.spark, roots.repo).join(stats, "id").select("id", "owner", "alphabet_partition", "name_with_owner", "stars")

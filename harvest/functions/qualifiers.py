@@ -26,11 +26,25 @@ def in_range(value: Column, bounds: tuple[Any, Any]) -> Column:
     low, high = bounds
     if low is None and high is None:
         raise ValueError("a range needs at least one bound")
-    if low is None:
-        return value <= _literal(high)
-    if high is None:
-        return value >= _literal(low)
-    return value.between(_literal(low), _literal(high))
+    terms = [value >= _literal(low)] if low is not None else []
+    if high is not None:
+        terms.append(value < _next_day(high) if _is_day(high) else value <= _literal(high))
+    return terms[0] & terms[1] if len(terms) == 2 else terms[0]
+
+
+def _is_day(bound: Any) -> bool:
+    return isinstance(bound, dt.date) and not isinstance(bound, dt.datetime)
+
+
+def _next_day(bound: dt.date) -> Column:
+    """The end of a day. Days are compared as a whole, also with a column of times, and the bare column can be pushed down."""
+    return F.lit(bound + dt.timedelta(days=1))
+
+
+def _beyond(value: Column, sign: str, bound: Any) -> Column:
+    if sign == "<":
+        return value < _literal(bound)
+    return value >= _next_day(bound) if _is_day(bound) else value > _literal(bound)
 
 
 def predicate(spec: Mapping[str, Any], columns: Mapping[str, str]) -> Column:
@@ -53,7 +67,7 @@ def predicate(spec: Mapping[str, Any], columns: Mapping[str, str]) -> Column:
             if isinstance(wanted, Mapping):
                 if not wanted or set(wanted) - {">", "<"}:
                     raise ValueError(f"bounds of {name!r} are (low, high) or use '>' and '<'")
-                terms += [value > _literal(bound) if sign == ">" else value < _literal(bound) for sign, bound in wanted.items()]
+                terms += [_beyond(value, sign, bound) for sign, bound in wanted.items()]
             else:
                 terms.append(in_range(value, wanted))
         elif name in EQUAL_QUALIFIERS:

@@ -94,7 +94,7 @@ def coverage(
     of the same scheme.
     """
     probes = _probes(repos, columns, scheme, id)
-    return probes.join(F.broadcast(_primary(matrix)), "query_string").select("id", "query_string")
+    return probes.join(_primary(matrix), "query_string").select("id", "query_string")
 
 
 def coverage_counts(
@@ -111,7 +111,7 @@ def uncovered(
 ) -> DataFrame:
     """Ids that no primary query of the matrix covers, in one scan of the table."""
     probes = _probes(repos, columns, scheme, id, F.explode_outer)
-    marked = probes.join(F.broadcast(_primary(matrix).withColumn("_hit", F.lit(1))), "query_string", "left")
+    marked = probes.join(_primary(matrix).withColumn("_hit", F.lit(1)), "query_string", "left")
     return marked.groupBy("id").agg(F.count("_hit").alias("_hits")).filter(F.col("_hits") == 0).select("id")
 
 

@@ -32,7 +32,7 @@ def top_n(
         return df.limit(0)
     salts = default_salts(df.sparkSession) if salts is None else salts
     by, order = list(by), columns(order)
-    if salts > 1:
+    if salts > 1 and by:
         # Input partitions are dealt to the salts, so that all rows of a map task share one salt.
         df = _first(df.withColumn("_salt", F.spark_partition_id() % salts), [*by, "_salt"], order, n).drop("_salt")
     return _first(df, by, order, n) if by else df.orderBy(*order).limit(n)

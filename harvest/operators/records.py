@@ -109,8 +109,8 @@ def to_repo(nodes: DataFrame, extras: bool = True) -> DataFrame:
 
 
 def to_stats(repo: DataFrame, date) -> DataFrame:
-    """Star counts of the records as stats rows of one fetch day."""
-    return with_fetched(repo, date).select(F.col("id").alias("repo_id"), "fetched_date", F.col("stars").cast("int").alias("stars"))
+    """Star counts of the records as stats rows of one fetch day. A count out of range is NULL, which the stats rules reject."""
+    return with_fetched(repo, date).select(F.col("id").alias("repo_id"), "fetched_date", F.col("stars").try_cast("int").alias("stars"))
 
 
 def stats_from_records(df: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def stats_from_records(df: DataFrame) -> DataFrame:
     if "repo_id" not in df.columns:
         df = df.withColumnRenamed("repoId", "repo_id")
     return df.select(
-        F.col("repo_id").cast("bigint").alias("repo_id"),
-        F.col("fetched_date").cast("date").alias("fetched_date"),
-        F.col("stars").cast("int").alias("stars"),
+        F.col("repo_id").try_cast("bigint").alias("repo_id"),
+        F.col("fetched_date").try_cast("date").alias("fetched_date"),
+        F.col("stars").try_cast("int").alias("stars"),
     )

@@ -37,9 +37,10 @@ WRITE_ORDER = ["job", *CRAWL_ORDER]
 
 
 def checked_records(records: DataFrame, date) -> DataFrame:
-    """Records as they would be stored, each with the `reason` it is rejected for or NULL."""
+    """Records as they would be stored, each with the `reason` it is rejected for or NULL. A reason that they bring stays."""
     rows = with_fetched(with_partition(records), date)
-    return marked(rows, F.coalesce(repo_reason(), table_reason(rows)))
+    known = F.col("reason") if "reason" in records.columns else F.lit(None).cast("string")
+    return marked(rows, F.coalesce(known, repo_reason(), table_reason(rows)))
 
 
 def load_records(

@@ -14,16 +14,18 @@ def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
 
     Files are written in parallel; `files=1` gives the single file of a small export.
     """
-    rows = df.select(*EXPORT_COLUMNS).withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+    # A fraction of a second is kept where there is one.
+    created_at = F.regexp_replace(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.?0*$", "")
+    rows = df.select(*EXPORT_COLUMNS).withColumn("created_at", created_at)
     if files is not None:
         rows = rows.coalesce(files)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_jobs(df: DataFrame, path: str) -> None:
-    """One folder per partition label, a large one in several files."""
+    """One folder per partition label, a large one in several files. Labels that are not among the rows keep their files."""
     rows = df.hint("rebalance", F.col("alphabet_partition"))
-    rows.write.mode("overwrite").partitionBy("alphabet_partition").parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("alphabet_partition").parquet(path)
 
 
 def write_bad(bad: DataFrame, path: str, label: str | None = None) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,10 +18,22 @@ from harvest.sources.tables import drop_versions
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Good records of all usable pages, one row per node, without chain or target cuts."""
+    """Records of all usable pages, one row per node with the `reason` it is rejected for, without chain or target cuts."""
     usable = page_status(pages).filter(F.col("status").isin(USABLE))
-    nodes = marked(explode_nodes(usable.select(*PAGE_KEY, "body")), node_reason()).filter(F.col("reason").isNull())
-    return nodes.select(*PAGE_KEY, "pos", *record_fields(F.col("node")))
+    nodes = marked(explode_nodes(usable.select(*PAGE_KEY, "body")), node_reason())
+    return nodes.select(*PAGE_KEY, "pos", "reason", *record_fields(F.col("node")))
+
+
+class Ingest:
+    """A started stream, and the one upsert that follows it."""
+
+    def __init__(self, query: StreamingQuery, finish: Callable[[], None]):
+        self.query, self._finish = query, finish
+
+    def awaitTermination(self) -> None:  # noqa: N802, named like that of a stream
+        """Wait until all files are staged, then store what is staged and not yet stored."""
+        self.query.awaitTermination()
+        self._finish()
 
 
 def ingest_stream(
@@ -31,19 +44,33 @@ def ingest_stream(
     date: dt.date,
     policy: str = "keep_first",
     max_files: int = 1000,
-) -> StreamingQuery:
-    """Start a stream that upserts new page files into the tables and stops when all are taken.
+) -> Ingest:
+    """Start a stream that takes new page files; `awaitTermination` upserts them into the tables.
 
-    After a restart only files not yet taken are read. A micro-batch that is repeated after a failure changes nothing,
-    because the upserts are keyed; for the same reason ids that come again in later batches need no state. Old versions
-    of the repo table are dropped, the newest two stay.
+    Micro-batches only stage their checked rows, good and bad, each in a folder that a repetition overwrites. One upsert
+    in write order stores all staged batches, so neither the tables nor the cost depend on how the files were cut into
+    batches. After a restart only files not yet taken are read; batches that were staged but not stored are stored then.
+    Old versions of the repo table are dropped, the newest two stay.
     """
     stream = PurePosixPath(checkpoint).name
+    staged, stored = f"{checkpoint}-staged", f"{checkpoint}-stored"
+
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        page_records(batch).write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        load_records(page_records(batch), roots, date, policy, label=f"{stream}-{batch_id}")
-        drop_versions(spark, roots.repo)
+    def finish() -> None:
+        done = spark.read.parquet(stored)
+        waiting = spark.read.option("basePath", staged).parquet(staged).join(done, "batch", "left_anti")
+        batches = [r["batch"] for r in waiting.select("batch").distinct().collect()]
+        if batches:
+            rows = waiting.where(F.col("batch").isin(batches))
+            load_records(rows.drop("batch"), roots, date, policy, label=f"{stream}-{min(batches)}")
+            drop_versions(spark, roots.repo)
+            rows.select(F.col("batch").cast("int").alias("batch")).distinct().write.mode("append").parquet(stored)
 
+    # Both folders exist from the start, with a batch that holds nothing.
+    stage(spark.createDataFrame([], PAGE), -1)
+    spark.range(-1, 0).select(F.col("id").cast("int").alias("batch")).write.mode("append").parquet(stored)
     pages = spark.readStream.schema(PAGE).option("maxFilesPerTrigger", max_files).json(pages_dir)
-    writer = pages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.start()
+    writer = pages.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return Ingest(writer.start(), finish)

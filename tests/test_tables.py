@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import json
 
@@ -7,7 +8,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from harvest.functions.qualifiers import qualify
 from harvest.operators import combine, history, measure, upsert
+from harvest.operators.combine import export_view
+from harvest.operators.records import stats_from_records
 from harvest.plans.load import Roots, load_records
 from harvest.schemas import REPO, STATS, conform
 from harvest.sources.exports import export_csv, write_bad, write_jobs
@@ -260,3 +264,46 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     land("1", [2, 3])
     assert run() == [(1, "matrix_0"), (2, "matrix_1"), (3, "matrix_1")]
     assert sorted((r.repo_id, r.stars) for r in read_stats(spark, roots.stats).collect()) == [(1, 10), (2, 20), (3, 30)]
+
+
+@pytest.mark.parametrize("max_files", [1, 2, 1000])
+def test_stream_does_not_depend_on_its_batches(spark, tmp_path, max_files):
+    (tmp_path / "landing").mkdir()
+    for at, (job, label) in enumerate([(5, "late"), (1, "early"), (3, "middle")]):
+        nodes = [{"databaseId": 71, "name": label, "owner": {"login": "o"}, "url": "u", "stargazerCount": job}, {"databaseId": 80 + job, "name": "", "owner": {"login": "o"}, "url": "u", "stargazerCount": 1}]
+        search = {"nodes": nodes, "pageInfo": {"hasNextPage": False}, "repositoryCount": 1}
+        line = {"http_status": 200, "job": job, "query_idx": 0, "page_idx": 0, "attempt": 0, "body": {"data": {"search": search, "rateLimit": {"remaining": 1}}}}
+        (tmp_path / "landing" / f"{at}.json").write_text(json.dumps(line))
+    roots = Roots(*(str(tmp_path / name) for name in ("repo", "stats", "bad")))
+    ingest_stream(spark, str(tmp_path / "landing"), roots, str(tmp_path / "cp"), DAY, max_files=max_files).awaitTermination()
+    assert [(r.id, r.name) for r in read_repo(spark, roots.repo).collect()] == [(71, "early")]
+    assert [r.stars for r in read_stats(spark, roots.stats).collect()] == [5]
+    rejected = spark.read.parquet(roots.bad)
+    assert sorted(r.id for r in rejected.collect()) == [81, 83, 85] and rejected.where("reason is null").count() == 0
+
+
+def test_days_of_qualifiers_are_whole(spark):
+    times = ["2016-12-30 23:59:59", "2016-12-31 00:00:01", "2016-12-31 23:59:59.5", "2017-01-01 00:00:00"]
+    rows = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"), F.col("t").cast("date").alias("d"))
+    last = dt.date(2016, 12, 31)
+    for spec, expected in (((None, last), 3), ((last, last), 2), ({">": last}, 1), ({"<": last}, 1), ((last, None), 3)):
+        for column in ("t", "d"):
+            assert qualify(rows, {"created": spec}, {"created": column}).count() == expected
+
+
+def test_csv_reads_back_and_jobs_stay(spark, tmp_path):
+    names = ['a "quoted", name', "line\nbreak", "back\\slash"]
+    frame = repo_frame(spark, [(i, n, "o", f"matrix_{i}") for i, n in enumerate(names)])
+    stats = spark.createDataFrame([(i, DAY, 1) for i in range(3)], "repo_id long, fetched_date date, stars int")
+    export_csv(export_view(frame, stats), str(tmp_path / "csv"), files=1)
+    (file,) = (tmp_path / "csv").glob("part-*.csv")
+    with file.open(newline="") as lines:
+        assert sorted(row["name"] for row in csv.DictReader(lines)) == sorted(names)
+    for i in range(3):
+        write_jobs(frame.where(F.col("id") == i), str(tmp_path / "jobs"))
+    assert spark.read.parquet(str(tmp_path / "jobs")).count() == 3
+
+
+def test_star_counts_out_of_range_are_rejected(spark):
+    stats = stats_from_records(spark.createDataFrame([(1, "2024-01-01", 3_000_000_000), (2, "2024-01-01", 5)], "repoId long, fetched_date string, stars long"))
+    assert {r.repo_id: r.stars for r in stats.collect()} == {1: None, 2: 5}
