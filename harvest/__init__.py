@@ -32,7 +32,7 @@ from harvest.operators.upsert import (
     with_parent,
 )
 from harvest.plans.load import Loaded, Roots, export_latest, harvest_pages, load_records
-from harvest.plans.replay import replay
+from harvest.plans.replay import node_outcomes, page_outcomes, replay
 from harvest.settings import SETTINGS, configure
 from harvest.sources.exports import export_csv, write_bad, write_jobs
 from harvest.sources.matrix import queries_for, query_matrix, single_job_queries

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from harvest.operators.ranking import first_seen
-from harvest.schemas import PAGE_KEY
+from harvest.schemas import page_key
 from harvest.sources.pages import nodes_of
 
 # Result window of the search service and the tokens its answers are told apart by.
@@ -61,9 +61,16 @@ def goes_on() -> Column:
     return F.coalesce(more, F.lit(False))
 
 
+def attempt_order(pages: DataFrame) -> list[Column]:
+    """Last attempt first. Of attempts with one number a usable one leads, then the content decides."""
+    ties = [name for name in ("http_status", "status", "has_next", "text", "records") if name in pages.columns]
+    usable = [F.col("ok").desc()] if "ok" in pages.columns else []
+    return [F.col("attempt").desc(), *usable, *map(F.col, ties)]
+
+
 def last_attempt(pages: DataFrame) -> DataFrame:
-    """The last attempt of every page decides. Earlier attempts are dropped before the shuffle."""
-    return first_seen(pages, PAGE_KEY, [F.col("attempt").desc()])
+    """The last attempt of every page of a run decides. Earlier attempts are dropped before the shuffle, if there is one."""
+    return first_seen(pages, page_key(pages), attempt_order(pages))
 
 
 def valid_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
@@ -72,7 +79,7 @@ def valid_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     Needs one row per page with boolean `ok` and `has_next`. Failed pages are dropped first: page k is reached when
     all pages before it are there and go on. A chain never holds more than `max_pages` rows here.
     """
-    before = W.partitionBy(*PAGE_KEY[:-1]).orderBy("page_idx").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*page_key(pages)[:-1]).orderBy("page_idx").rowsBetween(W.unboundedPreceding, -1)
     leading = F.count(F.when(F.col("has_next"), 1)).over(before)
     reached = pages.filter(F.col("page_idx").between(0, max_pages - 1) & F.col("ok")).withColumn("_leading", leading)
     return reached.filter(F.col("_leading") == F.col("page_idx")).drop("_leading")
@@ -86,7 +93,7 @@ def page_flags(pages: DataFrame) -> DataFrame:
 def query_yield(pages: DataFrame) -> DataFrame:
     """Rows a query returned against the result count its pages report."""
     rows = F.coalesce(F.size(nodes_of()), F.lit(0))
-    return pages.groupBy("job", "query_idx").agg(
+    return pages.groupBy(*page_key(pages)[:-1]).agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum(rows).alias("rows"),
         F.max("body.data.search.repositoryCount").alias("reported"),

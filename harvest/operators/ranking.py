@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -25,12 +26,13 @@ def top_n(
 
     Done in two steps: the first n of each (group, salt), then the first n of what is left of the group. A group
     with a third of all rows is thus spread over many tasks, and the last step sees at most n x salts rows of it.
+    Unless given, the number of salts is the root of the number of shuffle partitions, so that both steps stay small.
     `salts=1` saves the first shuffle where groups are known to be small. Map tasks prune to n rows by themselves
     if n is within spark.sql.optimizer.windowGroupLimitThreshold, see `harvest.settings`.
     """
     if n <= 0:
         return df.limit(0)
-    salts = default_salts(df.sparkSession) if salts is None else salts
+    salts = isqrt(default_salts(df.sparkSession)) if salts is None else salts
     by, order = list(by), columns(order)
     if salts > 1 and by:
         # Input partitions are dealt to the salts, so that all rows of a map task share one salt.

@@ -12,10 +12,12 @@ from harvest.operators.combine import export_view
 from harvest.operators.history import latest_stats
 from harvest.operators.measure import crawl_metrics, load_report
 from harvest.operators.records import marked, repo_reason, table_reason
-from harvest.plans.replay import CRAWL_ORDER, replay
+from harvest.operators.pages import MAX_PAGES
+from harvest.plans.replay import node_outcomes, page_outcomes
+from harvest.schemas import page_key, run_key
 from harvest.sources.exports import export_csv, write_bad
 from harvest.sources.scratch import written
-from harvest.sources.tables import read_repo, read_stats, store_repo, store_stats
+from harvest.sources.tables import drop_versions, read_repo, read_stats, store_repo, store_stats
 
 
 class Roots(NamedTuple):
@@ -33,12 +35,20 @@ class Loaded(NamedTuple):
     metrics: DataFrame
 
 
-WRITE_ORDER = ["job", *CRAWL_ORDER]
+def write_order(records: DataFrame) -> list[str]:
+    """The order in which the runs would have written: by day, run, job, and place in the crawl."""
+    attempt = ["attempt"] if "attempt" in records.columns else []
+    return ["fetched_date", *page_key(records), *attempt, "pos"]
 
 
 def checked_records(records: DataFrame, date) -> DataFrame:
-    """Records as they would be stored, each with the `reason` it is rejected for or NULL. A reason that they bring stays."""
-    rows = with_fetched(with_partition(records), date)
+    """Records as they would be stored, each with the `reason` it is rejected for or NULL.
+
+    A reason or a fetch day that they bring stays.
+    """
+    day = F.lit(date).cast("date")
+    own = F.coalesce("fetched_date", day) if "fetched_date" in records.columns else day
+    rows = with_fetched(with_partition(records), own)
     known = F.col("reason") if "reason" in records.columns else F.lit(None).cast("string")
     return marked(rows, F.coalesce(known, repo_reason(), table_reason(rows)))
 
@@ -51,18 +61,20 @@ def load_records(
     label: str | None = None,
     target: int = 4000,
 ) -> Loaded:
-    """Store the records of one or more jobs.
+    """Store the records of one or more jobs and runs; `date` is the fetch day of records that bring none.
 
     The checked records are staged once; both tables, the rejected rows, the report and the metrics read the staged
-    copy. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
+    copy. The newest two versions of the repo table stay. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
     """
     staged = written(checked_records(records, date), "records")
     good = staged.filter(F.col("reason").isNull())
-    store_repo(good, roots.repo, policy, WRITE_ORDER)
-    stats = good.select(F.col("id").alias("repo_id"), "fetched_date", F.col("stars").cast("int").alias("stars"), *WRITE_ORDER)
-    store_stats(stats, roots.stats, WRITE_ORDER, [date])
+    order = write_order(staged)
+    store_repo(good, roots.repo, policy, order)
+    drop_versions(records.sparkSession, roots.repo)
+    stats = good.select(F.col("id").alias("repo_id"), F.col("stars").cast("int").alias("stars"), *order)
+    store_stats(stats, roots.stats, order, None if "fetched_date" in records.columns else [date])
     write_bad(staged.filter(F.col("reason").isNotNull()), roots.bad, label)
-    return Loaded(load_report(staged), crawl_metrics(good, ["job"], target=target))
+    return Loaded(load_report(staged), crawl_metrics(good, [*run_key(good), "job"], target=target))
 
 
 def harvest_pages(
@@ -73,9 +85,20 @@ def harvest_pages(
     on_bad: str = "page",
     policy: str = "keep_first",
     label: str | None = None,
+    max_pages: int = MAX_PAGES,
 ) -> Loaded:
-    """A whole run on landed pages: replay the jobs, store what they collect, measure it."""
-    return load_records(replay(pages, target, on_bad), roots, date, policy, label, target)
+    """Whole runs on landed pages: replay the jobs, store what they collect, measure it.
+
+    Nodes that break a rule and pages that were not read (except attempts that a later one replaced) go to the rejected
+    rows, pages with the raw answer. The pages are parsed once, into a staged copy.
+    """
+    outcomes = written(page_outcomes(pages, on_bad, max_pages), "pages")
+    nodes = node_outcomes(outcomes, target)
+    broken = F.col("reason").isNotNull() & F.col("page").isin("reached", "bad_nodes")
+    taken = nodes.filter((F.col("outcome") == "stored") | broken).drop("page", "outcome")
+    unread = outcomes.filter(~F.col("outcome").isin("reached", "retried")).withColumn("reason", F.concat(F.lit("page_"), "outcome"))
+    unread = unread.drop("records", "status", "outcome")
+    return load_records(taken.unionByName(unread, allowMissingColumns=True), roots, date, policy, label, target)
 
 
 def export_latest(spark: SparkSession, roots: Roots, path: str, files: int | None = None) -> None:

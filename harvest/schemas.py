@@ -38,9 +38,10 @@ PAGE_BODY = _struct(
     ),
     errors=T.ArrayType(_TEXT),
 )
-# `text` is the raw response of a request that did not answer with the JSON body (an error page).
+# `text` is the raw response of a request that did not answer with the JSON body (an error page). `run` names the run that
+# fetched the page and `fetched_date` its UTC day; both are NULL where only one run was landed.
 PAGE = _struct(
-    http_status=_INT, job=_INT, query_idx=_INT, page_idx=_INT, attempt=_INT, text=_TEXT, body=PAGE_BODY
+    run=_TEXT, fetched_date=T.DateType(), http_status=_INT, job=_INT, query_idx=_INT, page_idx=_INT, attempt=_INT, text=_TEXT, body=PAGE_BODY
 )
 REPO_RECORD = _struct(
     id=_LONG,
@@ -59,6 +60,20 @@ QUERY = _struct(job=_LONG, query_idx=_INT, query_string=_TEXT, description=_TEXT
 EXPORT_COLUMNS = ["id", "name", "name_with_owner", "url", "created_at", "stars", "crawled_at"]
 
 PAGE_KEY = ["job", "query_idx", "page_idx"]
+#: Column of `LANDED` that holds a line which is not JSON.
+MALFORMED = "malformed"
+LANDED = T.StructType([*PAGE.fields, T.StructField(MALFORMED, _TEXT)])
+
+
+def run_key(df: DataFrame) -> list[str]:
+    """What tells the runs of `df` apart: its `run` column, if it has one."""
+    return ["run"] if "run" in df.columns else []
+
+
+def page_key(df: DataFrame) -> list[str]:
+    """What tells pages apart; the attempts of a page share it."""
+    return [*run_key(df), *PAGE_KEY]
+
 
 INT_MAX = 2147483647
 PARTITION_WIDTH = 100  # characters; the first table version allowed 10

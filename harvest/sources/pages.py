@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harvest.schemas import NODE, PAGE, PAGE_BODY
+from harvest.schemas import LANDED, MALFORMED, NODE, PAGE_BODY
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Scan landed pages. A malformed line becomes a row of NULLs, which `page_status` marks as failed."""
-    return spark.read.schema(PAGE).json(path)
+    """Scan landed pages. A malformed line becomes a row of NULLs that keeps its text in `malformed`."""
+    return spark.read.schema(LANDED).option("columnNameOfCorruptRecord", MALFORMED).json(path)
 
 
 def parse_pages(df: DataFrame, body_col: str) -> DataFrame:
@@ -38,6 +38,6 @@ def explode_nodes(pages: DataFrame) -> DataFrame:
 
     Nodes are parsed before they are unpacked, for the reason given in `parse_pages`.
     """
-    keep = [c for c in pages.columns if c not in ("body", "text")]
+    keep = [c for c in pages.columns if c not in ("body", "text", MALFORMED)]
     rows = pages.select(*keep, F.posexplode(parsed_nodes(nodes_of())).alias("pos", "n"))
     return rows.select(*keep, "pos", "n.raw", "n.node")

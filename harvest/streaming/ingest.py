@@ -12,16 +12,24 @@ from pyspark.sql.streaming import StreamingQuery
 from harvest.operators.pages import USABLE, page_status
 from harvest.operators.records import marked, node_reason, record_fields
 from harvest.plans.load import Roots, load_records
-from harvest.schemas import PAGE, PAGE_KEY
+from harvest.schemas import LANDED, MALFORMED, page_key
 from harvest.sources.pages import explode_nodes
-from harvest.sources.tables import drop_versions
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Records of all usable pages, one row per node with the `reason` it is rejected for, without chain or target cuts."""
-    usable = page_status(pages).filter(F.col("status").isin(USABLE))
-    nodes = marked(explode_nodes(usable.select(*PAGE_KEY, "body")), node_reason())
-    return nodes.select(*PAGE_KEY, "pos", "reason", *record_fields(F.col("node")))
+    """Records of all usable pages, one row per node with the `reason` it is rejected for, without chain or target cuts.
+
+    A page that is not usable is one row with its status as the reason and its raw answer, a malformed line likewise.
+    """
+    status, keys = page_status(pages), [*page_key(pages), "fetched_date", "attempt"]
+    usable = status.filter(F.col("status").isin(USABLE))
+    nodes = marked(explode_nodes(usable.select(*keys, "body")), node_reason())
+    records = nodes.select(*keys, "pos", "reason", *record_fields(F.col("node")))
+    why = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(F.col("status"))
+    lost = status.filter(~F.col("status").isin(USABLE)).select(
+        *keys, F.concat(F.lit("page_"), why).alias("reason"), F.coalesce(MALFORMED, "text").alias("raw")
+    )
+    return records.unionByName(lost, allowMissingColumns=True)
 
 
 class Ingest:
@@ -65,12 +73,12 @@ def ingest_stream(
         if batches:
             rows = waiting.where(F.col("batch").isin(batches))
             load_records(rows.drop("batch"), roots, date, policy, label=f"{stream}-{min(batches)}")
-            drop_versions(spark, roots.repo)
             rows.select(F.col("batch").cast("int").alias("batch")).distinct().write.mode("append").parquet(stored)
 
     # Both folders exist from the start, with a batch that holds nothing.
-    stage(spark.createDataFrame([], PAGE), -1)
+    stage(spark.createDataFrame([], LANDED), -1)
     spark.range(-1, 0).select(F.col("id").cast("int").alias("batch")).write.mode("append").parquet(stored)
-    pages = spark.readStream.schema(PAGE).option("maxFilesPerTrigger", max_files).json(pages_dir)
+    reader = spark.readStream.schema(LANDED).option("columnNameOfCorruptRecord", MALFORMED)
+    pages = reader.option("maxFilesPerTrigger", max_files).json(pages_dir)
     writer = pages.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return Ingest(writer.start(), finish)
