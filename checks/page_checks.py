@@ -8,8 +8,10 @@ from checks import standins as s
 from checks.catalog import Tables, check
 from harvest.operators import measure, pages, ranking
 from harvest.operators.records import record_fields
+from harvest.plans import replay as plans
 from harvest.plans.replay import replay as run_replay
 from harvest.sources.pages import explode_nodes
+from harvest.sources.scratch import written
 
 TARGET = 40
 
@@ -61,6 +63,70 @@ def replay_skipping_bad_rows(t: Tables) -> DataFrame:
     return run_replay(s.pages(t.events), TARGET, "row")
 
 
+# Two runs on two days share their page keys.
+RUNS_SQL = "'run' || job % 2 AS run, DATE '2024-03-01' + job % 2 AS fetched_date, job // 2 AS job"
+
+
+def two_runs(t: Tables) -> DataFrame:
+    """The landed pages as those of two runs, the odd jobs a day after the even ones."""
+    odd = F.col("job") % 2
+    runs = {
+        "run": F.concat(F.lit("run"), odd.cast("string")),
+        "fetched_date": F.date_add(F.lit("2024-03-01").cast("date"), odd),
+        "job": F.expr("job div 2").cast("int"),
+    }
+    return s.pages(t.events).withColumns(runs)
+
+
+@check(f"SELECT * EXCLUDE (job), {RUNS_SQL} FROM ({replay_sql(s.CLEAN_SQL)})")
+def replay_two_runs(t: Tables) -> DataFrame:
+    return run_replay(two_runs(t), TARGET, "page")
+
+
+OUTCOMES_SQL = f"""
+    WITH {s.PAGES_SQL}, {s.CHAIN_SQL.format(clean=s.CLEAN_SQL)},
+    led AS (
+      SELECT l.job, l.query_idx, l.page_idx, l.attempt, l.status, c.ok, c.attempt AS last,
+             (SELECT count(*) FROM last_try b WHERE b.job = l.job AND b.query_idx = l.query_idx AND b.page_idx < l.page_idx
+              AND b.ok AND b.has_next) = l.page_idx AS gapless
+      FROM landed l JOIN last_try c USING (job, query_idx, page_idx)
+    ),
+    page_outcomes AS (
+      SELECT job, query_idx, page_idx, attempt, status,
+             CASE WHEN page_idx >= 10 THEN 'outside_window' WHEN attempt <> last THEN 'retried' WHEN NOT gapless THEN 'not_reached'
+                  WHEN ok THEN 'reached' WHEN status IN ('ok', 'ok_with_errors') THEN 'bad_nodes' ELSE status END AS outcome
+      FROM led
+    )"""
+
+
+@check(f"{OUTCOMES_SQL} SELECT * FROM page_outcomes")
+def page_outcomes(t: Tables) -> DataFrame:
+    return plans.page_outcomes(s.pages(t.events)).drop("records", "raw")
+
+
+@check(
+    f"""
+    {OUTCOMES_SQL},
+    landed_nodes AS (
+      SELECT n.job, n.query_idx, n.page_idx, n.attempt, n.pos, n.id, p.outcome AS page
+      FROM nodes n JOIN page_outcomes p USING (job, query_idx, page_idx, attempt)
+      JOIN landed l USING (job, query_idx, page_idx, attempt)
+      WHERE l.status IN ('ok', 'ok_with_errors') OR (l.event_type = 'error' AND l.value >= 50 AND l.value < 55)
+    ),
+    hits AS (SELECT * FROM landed_nodes WHERE page = 'reached'),
+    firsts AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY job, id ORDER BY query_idx, page_idx, pos) = 1),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY query_idx, page_idx, pos) AS place FROM firsts)
+    SELECT job, query_idx, page_idx, attempt, pos, n.id,
+           CASE WHEN n.page IN ('reached', 'bad_nodes') AND n.id <= 0 THEN 'id_not_positive' WHEN n.page <> 'reached' THEN 'page_' || n.page
+                WHEN place <= {TARGET} THEN 'stored' WHEN place > {TARGET} THEN 'over_target' ELSE 'repeated' END AS outcome
+    FROM landed_nodes n LEFT JOIN placed USING (job, query_idx, page_idx, attempt, pos)
+    """
+)
+def node_outcomes(t: Tables) -> DataFrame:
+    outcomes = written(plans.page_outcomes(s.pages(t.events)), "outcomes")
+    return plans.node_outcomes(outcomes, TARGET).select("job", "query_idx", "page_idx", "attempt", "pos", "id", "outcome")
+
+
 def _hits(t: Tables) -> DataFrame:
     usable = pages.page_status(s.pages(t.events)).filter(F.col("status").isin(pages.USABLE))
     return explode_nodes(usable).select("job", "query_idx", "page_idx", "pos", *record_fields(F.col("node")))

@@ -134,7 +134,8 @@ def order_batch(orders: DataFrame) -> DataFrame:
     )
 
 
-# Landed pages: every event is a page of 8 nodes, 13 pages are a chain, 3 chains a job. Views were rate limited once and
+# Landed pages: every event is a page of 8 nodes, 13 pages are a chain, 3 chains a job. Ten jobs share
+# 119 ids. Views were rate limited once and
 # tried again; some errors fail in one of the ways a page can fail; some signups and purchases end their chain.
 PAGES_SQL = """
 landed AS (
@@ -150,7 +151,8 @@ landed AS (
   WHERE attempt = 0 OR event_type = 'view'
 ),
 nodes AS (
-  SELECT job, query_idx, page_idx, attempt, CAST(i AS INTEGER) AS pos, (k + i * 7 + event_id) % 120 AS id,
+  SELECT job, query_idx, page_idx, attempt, CAST(i AS INTEGER) AS pos,
+         CASE WHEN (k + i * 7 + event_id) % 120 > 0 THEN (k + i * 7 + event_id) % 120 + event_id // 390 * 120 ELSE 0 END AS id,
          event_type AS owner, CAST(floor(value) AS BIGINT) + i AS stars, status, has_next
   FROM landed CROSS JOIN range(0, 8) r(i)
 )"""
@@ -173,7 +175,8 @@ CLEAN_SQL = " AND NOT (" + " OR ".join(f"(k + {i} * 7 + event_id) % 120 = 0" for
 
 
 def _node(i: Column) -> Column:
-    id = (F.col("k") + i * 7 + F.col("event_id")) % 120
+    within = (F.col("k") + i * 7 + F.col("event_id")) % 120
+    id = F.when(within > 0, within + F.expr("event_id div 390") * 120).otherwise(0)
     name = F.concat(F.lit("n"), id.cast("string"))
     return F.struct(
         id.alias("databaseId"),

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import standins as s
 from checks.catalog import Tables, check
-from checks.page_checks import TARGET, replay_sql
+from checks.page_checks import RUNS_SQL, TARGET, replay_sql, two_runs
 from harvest.operators import combine, coverage, history, measure, upsert
 from harvest.plans.load import Roots, export_latest, harvest_pages, load_records
 from harvest.sources import matrix, matrix_values as v
 from harvest.sources.exports import export_csv, write_jobs
 from harvest.sources.scratch import new_path
-from harvest.sources.tables import publish_repo, read_repo, read_stats, store_repo, store_stats
+from harvest.sources.tables import delete_stored, publish_repo, read_repo, read_stats, store_repo, store_stats
 from harvest.streaming.ingest import ingest_stream
 
 DAY = dt.date.fromisoformat(s.FETCHED)
@@ -350,15 +350,20 @@ _BOUNDS_SQL = r"""
       CASE WHEN query_string LIKE '%size:>%' THEN CAST(regexp_extract(query_string, 'size:>(\d+)', 1) AS BIGINT) + 1
         ELSE TRY_CAST(regexp_extract(query_string, 'size:(\d+)\.\.', 1) AS BIGINT) END AS size_lo,
       CASE WHEN query_string LIKE '%size:<%' THEN CAST(regexp_extract(query_string, 'size:<(\d+)', 1) AS BIGINT) - 1
-        ELSE TRY_CAST(regexp_extract(query_string, 'size:\d+\.\.(\d+)', 1) AS BIGINT) END AS size_hi
-    FROM matrix WHERE strategy <> 'special'
+        ELSE TRY_CAST(regexp_extract(query_string, 'size:\d+\.\.(\d+)', 1) AS BIGINT) END AS size_hi,
+      TRY_CAST(regexp_extract(query_string, 'pushed:>(\S+)', 1) AS DATE) + 1 AS pushed_lo, CAST(NULL AS DATE) AS pushed_hi
+    FROM matrix
 """
 
 
 @check(f"WITH {_matrix_sql('fine', _CUSTOMER_JOBS)} {_BOUNDS_SQL}")
 def matrix_bounds(t: Tables) -> DataFrame:
-    rows = _matrix(t, "fine").filter(F.col("strategy") != "special")
-    return rows.drop("query_string", "description", "expected_results", "strategy")
+    return _matrix(t, "fine").drop("query_string", "description", "expected_results", "strategy")
+
+
+@check(f"WITH {_matrix_sql('coarse', _CUSTOMER_JOBS)} {_BOUNDS_SQL}")
+def matrix_bounds_coarse(t: Tables) -> DataFrame:
+    return _matrix(t, "coarse").drop("query_string", "description", "expected_results", "strategy")
 
 
 @check(
@@ -474,6 +479,25 @@ def stored_repo(t: Tables) -> DataFrame:
     return read_repo(t.spark, root)
 
 
+@check(
+    f"""
+    WITH {s.CUSTOMER_REPO_SQL}, {s.STATS_SQL}
+    SELECT 'repo' AS kept, id, count(*) AS rows FROM target WHERE id NOT IN (SELECT s_suppkey * 20 FROM supplier) GROUP BY id
+    UNION ALL
+    SELECT 'stats', repo_id, count(*) FROM stats WHERE repo_id NOT IN (SELECT s_suppkey * 20 FROM supplier) GROUP BY repo_id
+    """
+)
+def stored_delete(t: Tables) -> DataFrame:
+    """Rows per id that both stored tables keep after ids are deleted."""
+    repo, stats = new_path(t.spark, "repo"), new_path(t.spark, "stats")
+    publish_repo(s.customer_repo(t.customer), repo)
+    store_stats(s.stats_rows(t.events), stats)
+    delete_stored(t.supplier.select((F.col("s_suppkey") * 20).alias("id")), repo, stats)
+    left = read_repo(t.spark, repo).select(F.lit("repo").alias("kept"), "id")
+    left = left.unionByName(read_stats(t.spark, stats).select(F.lit("stats").alias("kept"), F.col("repo_id").alias("id")))
+    return left.groupBy("kept", "id").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @check(_STATS_UPSERT_SQL)
 def stored_stats(t: Tables) -> DataFrame:
     root = new_path(t.spark, "stats")
@@ -556,6 +580,20 @@ def whole_run(t: Tables) -> DataFrame:
     return t.spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(path)
 
 
+@check(
+    f"""
+    WITH replayed AS (SELECT * EXCLUDE (job), {RUNS_SQL} FROM ({replay_sql(s.CLEAN_SQL)}))
+    SELECT id AS repo_id, fetched_date, CAST(stars AS INTEGER) AS stars FROM replayed
+    QUALIFY row_number() OVER (PARTITION BY id, fetched_date ORDER BY job DESC, query_idx DESC, page_idx DESC, pos DESC) = 1
+    """
+)
+def two_runs_stored(t: Tables) -> DataFrame:
+    """The runs of two days stored in one load."""
+    roots = _new_roots(t)
+    harvest_pages(two_runs(t), roots, DAY, TARGET, label="check")
+    return read_stats(t.spark, roots.stats)
+
+
 @check(
     f"""
     WITH {s.PAGES_SQL}, hits AS (SELECT * FROM nodes WHERE status IN ('ok', 'ok_with_errors') AND id > 0),

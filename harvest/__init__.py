@@ -37,7 +37,7 @@ from harvest.settings import SETTINGS, configure
 from harvest.sources.exports import export_csv, write_bad, write_jobs
 from harvest.sources.matrix import queries_for, query_matrix, single_job_queries
 from harvest.sources.pages import explode_nodes, parse_pages, read_pages
-from harvest.sources.tables import drop_versions, publish_repo, read_repo, read_stats, save_bucketed, store_repo, store_stats
+from harvest.sources.tables import delete_stored, drop_versions, publish_repo, read_repo, read_stats, save_bucketed, store_repo, store_stats
 from harvest.streaming.ingest import ingest_stream
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harvest.sources.matrix import bounds, fields_of, render, scheme_of, single_job_queries
 from harvest.sources.matrix_values import LICENSE_NAMES
 
+#: Flags that some queries exclude.
+FLAGS = ("fork", "archived")
+
 
 def band_of(value: str, bands: list[str], kind=int) -> Column:
     """The band text that the SQL expression `value` falls in, NULL outside all bands. Bands have no gaps and no overlap.
@@ -44,8 +47,9 @@ def license_key(name: Column) -> Column:
     return key
 
 
-def _probes(repos: DataFrame, columns: Mapping[str, str], scheme: str, id: str, explode=F.explode) -> DataFrame:
-    """(id, query_string) for the one primary query per strategy that a row could answer; `topic` may be an array column."""
+def _probes(repos: DataFrame, columns: Mapping[str, str], scheme: str, id: str) -> tuple[DataFrame, list[Column], list[Column]]:
+    """Rows with their bands, and the primary queries a row could answer: one text per strategy, and arrays of texts where
+    `topic` is an array column. A text is NULL where a row has no such query."""
     plan = scheme_of(scheme)
     fields: dict[str, Column] = {}
     for name, column in columns.items():
@@ -62,24 +66,37 @@ def _probes(repos: DataFrame, columns: Mapping[str, str], scheme: str, id: str,
     def per_topic(query: str) -> Column:
         return F.transform(F.array_distinct("topic"), lambda topic: render(query, {**fields, "topic": topic}))
 
-    probes = []
+    def unflagged(query: str, probe: Column) -> Column:
+        for flag in FLAGS:
+            if flag in fields and f"{flag}:false" in query:
+                probe = F.when(~fields[flag], probe)
+        return probe
+
+    single, several = [], []
     for strategy, _, templates in plan.strategies:
         query = templates[0][0]
         if strategy == "special" or not fields_of(query) <= set(fields):
             continue
         if strategy == "topic" and banded.schema["topic"].dataType.typeName() == "array":
-            probes.append(per_topic(query))
+            several.append(unflagged(query, per_topic(query)))
         else:
-            probes.append(F.array(render(query, fields)))
-    if not probes:
+            single.append(unflagged(query, render(query, fields)))
+    if not single and not several:
         raise ValueError(f"no strategy of {scheme!r} can be evaluated on {sorted(columns)}")
-    queries = F.flatten(F.array(*[F.coalesce(p, F.array().cast("array<string>")) for p in probes]))
-    return banded.select("id", explode(queries).alias("query_string"))
+    return banded, single, several
+
+
+def _exploded(repos: DataFrame, columns: Mapping[str, str], scheme: str, id: str) -> DataFrame:
+    """(id, query_string) for every primary query that a row could answer."""
+    banded, single, several = _probes(repos, columns, scheme, id)
+    arrays = [F.array(text) for text in single] + [F.coalesce(texts, F.array().cast("array<string>")) for texts in several]
+    return banded.select("id", F.explode(F.flatten(F.array(*arrays))).alias("query_string"))
 
 
 def _primary(matrix: DataFrame) -> DataFrame:
     """Distinct primary queries. Their number is bounded by the lists of a scheme (81,135 texts of under 120 bytes for
-    `fine`, 3,333 for `coarse`), however many jobs the matrix has, so this side may be broadcast."""
+    `fine`, 3,333 for `coarse`) if the matrix is made from them; a caller's frame may be larger, so its size at run time
+    decides whether it is broadcast."""
     return matrix.filter(F.col("query_idx") == 0).select("query_string").distinct()
 
 
@@ -89,11 +106,12 @@ def coverage(
     """(id, query_string) for every primary query of the matrix that a row falls in.
 
     `columns` maps list names (language, stars, created, size, license, topic) to columns; strategies that need an
-    unmapped list are left out, and so are the special queries. The bands are disjoint, so instead of a range join each
+    unmapped list are left out, and so are the special queries. Boolean columns may be mapped to `fork` and `archived`; queries
+    that exclude such rows then do (NULL counts as excluded), without them rows are taken as neither. The bands are disjoint, so instead of a range join each
     row renders the one query per strategy it can match, and an equi join on the text does the rest. The matrix must be
     of the same scheme.
     """
-    probes = _probes(repos, columns, scheme, id)
+    probes = _exploded(repos, columns, scheme, id)
     return probes.join(_primary(matrix), "query_string").select("id", "query_string")
 
 
@@ -101,7 +119,7 @@ def coverage_counts(
     repos: DataFrame, matrix: DataFrame, columns: Mapping[str, str], scheme: str = "fine", id: str = "id"
 ) -> DataFrame:
     """Rows per primary query, 0 for queries that cover none. Rows are counted per query text before the join."""
-    probes = _probes(repos, columns, scheme, id)
+    probes = _exploded(repos, columns, scheme, id)
     hits = probes.groupBy("query_string").agg(F.count(F.lit(1)).alias("repos"))
     return _primary(matrix).join(hits, "query_string", "left").select("query_string", F.coalesce("repos", F.lit(0)).alias("repos"))
 
@@ -109,10 +127,22 @@ def coverage_counts(
 def uncovered(
     repos: DataFrame, matrix: DataFrame, columns: Mapping[str, str], scheme: str = "fine", id: str = "id"
 ) -> DataFrame:
-    """Ids that no primary query of the matrix covers, in one scan of the table."""
-    probes = _probes(repos, columns, scheme, id, F.explode_outer)
-    marked = probes.join(_primary(matrix).withColumn("_hit", F.lit(1)), "query_string", "left")
-    return marked.groupBy("id").agg(F.count("_hit").alias("_hits")).filter(F.col("_hits") == 0).select("id")
+    """Ids that no primary query of the matrix covers, in one scan of the table; ids are taken as unique.
+
+    The text of each strategy is looked up by itself, so rows are not gathered by id. Only arrays of topics are unpacked,
+    for the rows that nothing else covers.
+    """
+    banded, single, several = _probes(repos, columns, scheme, id)
+    texts = [*single, *several]
+    rows = banded.select("id", *[text.alias(f"_{i}") for i, text in enumerate(texts)])
+    primary = _primary(matrix)
+    for i in range(len(single)):
+        rows = rows.join(primary, rows[f"_{i}"] == primary["query_string"], "left_anti")
+    for i in range(len(single), len(texts)):
+        probes = rows.select("id", F.explode_outer(f"_{i}").alias("query_string"))
+        found = probes.join(primary.withColumn("_hit", F.lit(1)), "query_string", "left").groupBy("id").agg(F.count("_hit").alias("_hits"))
+        rows = rows.join(found.filter(F.col("_hits") == 0).select("id"), "id", "left_semi")
+    return rows.select("id")
 
 
 def single_job_counts(repos: DataFrame, stars: str = "stars", scheme: str = "fine") -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from string import Formatter
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from harvest.schemas import QUERY
 from harvest.sources import matrix_values as v
@@ -45,7 +45,7 @@ SCHEMES = {
         v.COARSE_SINGLE_JOB,
     ),
 }
-_BOUNDED = {"stars": ("star", int), "created": ("created", dt.date.fromisoformat), "size": ("size", int)}
+_BOUNDED = {"stars": ("star", int), "created": ("created", dt.date.fromisoformat), "size": ("size", int), "pushed": ("pushed", dt.date.fromisoformat)}
 _PLAIN = ["language", "license", "topic"]
 
 
@@ -56,11 +56,12 @@ def scheme_of(name: str) -> Scheme:
 
 
 def bounds(band: str, kind=int) -> tuple[Any, Any]:
-    """Inclusive bounds of a list entry such as 26..27, >45350, <5 or ..2016-12-31; None is open."""
+    """Inclusive bounds of a list entry such as 26..27, >45350, <5, >2024-06-01 or ..2016-12-31; None is open."""
+    step = 1 if kind is int else dt.timedelta(1)
     if band[0] == ">":
-        return kind(band[1:]) + 1, None
+        return kind(band[1:]) + step, None
     if band[0] == "<":
-        return None, kind(band[1:]) - 1
+        return None, kind(band[1:]) - step
     low, high = band.split("..")
     return (kind(low) if low else None), (kind(high) if high else None)
 
@@ -80,6 +81,24 @@ def fields_of(template: str) -> set[str]:
     return {field for _, field, _, _ in Formatter().parse(template) if field}
 
 
+def _fixed(query: str, name: str) -> str | None:
+    """The value that a query of the lists gives a qualifier in plain text."""
+    values = [term.removeprefix(f"{name}:") for term in query.split() if term.startswith(f"{name}:") and "{" not in term]
+    return values[0] if values else None
+
+
+def _fixed_bounds(query: str) -> list[Any]:
+    """Bounds that a query states in plain text, in the order of the bounds columns."""
+    bands = [(_fixed(query, name), kind) for name, (_, kind) in _BOUNDED.items()]
+    return [end for band, kind in bands for end in (bounds(band, kind) if band else (None, None))]
+
+
+def _bounds_columns() -> list[tuple[str, str, str]]:
+    """(column, list name, SQL type) of every bound, lower and upper in turn."""
+    kinds = {name: "bigint" if kind is int else "date" for name, (_, kind) in _BOUNDED.items()}
+    return [(f"{label}_{side}", name, kinds[name]) for name, (label, _) in _BOUNDED.items() for side in ("lo", "hi")]
+
+
 def _constant(values: list, kind: str = "string") -> Column:
     """A list as one text literal that Spark folds to a constant array; None becomes NULL."""
     entries = F.split(F.lit("|".join("" if value is None else str(value) for value in values)), r"\|")
@@ -94,27 +113,43 @@ class _Lists:
         self.entries = {name: _constant(entries) for name, entries in scheme.lists.items()}
         self.entries["special"] = _constant([query for query, _ in scheme.specials])
         self.entries["special_description"] = _constant([text for _, text in scheme.specials])
-        self.bounds = {}
-        for name, (label, kind) in _BOUNDED.items():
-            sql = "date" if name == "created" else "bigint"
-            for side, suffix in enumerate(("lo", "hi")):
-                ends = [bounds(band, kind)[side] for band in scheme.lists.get(name, [])]
-                self.bounds[f"{label}_{suffix}"] = (name, _constant(ends, sql), F.lit(None).cast(sql))
+        queries = [query for query, _ in scheme.specials]
+        self.special_values = {name: _constant([_fixed(query, name) for query in queries]) for name in _PLAIN}
+        self.bounds, self.special_bounds = {}, {}
+        for at, (column, name, sql) in enumerate(_bounds_columns()):
+            kind = _BOUNDED[name][1]
+            self.bounds[column] = _constant([bounds(band, kind)[at % 2] for band in scheme.lists.get(name, [])], sql)
+            self.special_bounds[column] = _constant([_fixed_bounds(query)[at] for query in queries], sql)
 
 
 def _row(strategy: str, template, texts: dict[str, Column], index: dict[str, Column], lists: _Lists) -> Column:
-    """One matrix row: rendered texts, and the bounds of the lists that the query names (NULL = free)."""
+    """One matrix row: rendered texts, and the values and bounds that the query names, by its lists or in plain text (NULL = free)."""
     query, description, expected = template
-    used, none = fields_of(query), F.lit(None).cast("string")
+    used = fields_of(query)
+
+    def plain(name: str) -> Column:
+        if name in used:
+            return texts[name]
+        if "special" in used:
+            value = F.element_at(lists.special_values[name], index["special"])
+            return F.when(value != "", value)
+        return F.lit(_fixed(query, name)).cast("string")
+
     columns = [
         render(query, texts).alias("query_string"),
         render(description, texts).alias("description"),
         F.lit(expected).alias("expected_results"),
         F.lit(strategy).alias("strategy"),
-        *[(texts[name] if name in used else none).alias(name) for name in _PLAIN],
+        *[plain(name).alias(name) for name in _PLAIN],
     ]
-    for column, (name, ends, free) in lists.bounds.items():
-        columns.append((F.element_at(ends, index[name]) if name in used else free).alias(column))
+    for (column, name, sql), stated in zip(_bounds_columns(), _fixed_bounds(query)):
+        if name in used:
+            bound = F.element_at(lists.bounds[column], index[name])
+        elif "special" in used:
+            bound = F.element_at(lists.special_bounds[column], index["special"])
+        else:
+            bound = F.lit(stated).cast(sql)
+        columns.append(bound.alias(column))
     return F.struct(*columns)
 
 
@@ -146,9 +181,17 @@ def queries_for(jobs: DataFrame, scheme: str = "fine", job: str = "job") -> Data
 
 
 def single_job_queries(spark: SparkSession, scheme: str = "fine") -> DataFrame:
-    """The fixed query list of a run with one job."""
-    rows = [(0, i, query, text, n) for i, (query, text, n) in enumerate(scheme_of(scheme).single)]
-    return spark.createDataFrame(rows, QUERY)
+    """The fixed query list of a run with one job, in the columns of `queries_for`."""
+    rows = [
+        (0, i, query, text, n, "single", *[_fixed(query, name) for name in _PLAIN], *_fixed_bounds(query))
+        for i, (query, text, n) in enumerate(scheme_of(scheme).single)
+    ]
+    schema = T.StructType([*QUERY.fields])
+    for name in ("strategy", *_PLAIN):
+        schema = schema.add(name, T.StringType())
+    for column, _, sql in _bounds_columns():
+        schema = schema.add(column, T.DateType() if sql == "date" else T.LongType())
+    return spark.createDataFrame(rows, schema)
 
 
 def query_matrix(spark: SparkSession, total: int, scheme: str = "fine") -> DataFrame:

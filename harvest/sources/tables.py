@@ -116,6 +116,26 @@ def store_stats(
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fetched_date").parquet(root)
 
 
+def delete_stored(ids: DataFrame, repo_root: str, stats_root: str) -> None:
+    """Delete repos by `id` from the stored tables, their stats first, so that a failure half-way leaves no stats without a repo.
+
+    Only the days that hold one of the ids are rewritten. Deleting again changes nothing. One writer at a time.
+    """
+    spark, gone = ids.sparkSession, ids.select("id").distinct()
+    stats = read_stats(spark, stats_root)
+    dates = touched_dates(stats.join(gone, stats["repo_id"] == gone["id"], "left_semi"))
+    if dates:
+        days = stats.filter(F.col("fetched_date").isin(dates))
+        kept = written(days.join(gone, days["repo_id"] == gone["id"], "left_anti"), "stats")
+        rows = kept.hint("rebalance", F.col("fetched_date"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fetched_date").parquet(stats_root)
+        # The overwrite leaves a day alone that has no rows any more.
+        for day in set(dates) - set(touched_dates(kept)):
+            fs, where = _folder(spark, f"{stats_root}/fetched_date={day}")
+            fs.delete(where, True)
+    publish_repo(read_repo(spark, repo_root).join(gone, "id", "left_anti"), repo_root)
+
+
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "id") -> None:
     """Save as a bucketed catalog table. An upsert into spark.table(table) then moves only the batch, not the table.
 

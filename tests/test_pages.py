@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import random
 
@@ -8,8 +9,10 @@ import pytest
 from harvest.operators.measure import page_yield
 from harvest.operators.pages import last_attempt, page_flags, page_status, query_yield, valid_pages
 from harvest.operators.ranking import cap, first_seen, result_window
-from harvest.plans.replay import replay
-from harvest.sources.pages import parse_pages
+from harvest.plans.load import Roots, harvest_pages
+from harvest.plans.replay import node_outcomes, page_outcomes, replay
+from harvest.sources.pages import parse_pages, read_pages
+from harvest.sources.tables import read_stats
 
 
 def body(nodes=(), has_next=True, remaining=4999, errors=None, **drop):
@@ -190,3 +193,44 @@ def test_page_and_query_yield(spark):
     pages = frame(spark, [(200, 0, 0, 0, 0, body([node(1), node(2)])), (200, 0, 0, 1, 0, body([node(3)])), (502, 0, 1, 0, 0, "")])
     got = sorted((r.query_idx, r.pages, r.rows, r.reported) for r in query_yield(pages).collect())
     assert [g[:3] for g in got] == [(0, 2, 3), (1, 1, 0)]
+
+
+@pytest.mark.parametrize("on_bad", ["page", "row"])
+def test_every_landed_node_and_page_has_an_outcome(spark, tmp_path, on_bad):
+    rows = landed_pages(5)
+    document = {"http_status": 200, "job": 0, "query_idx": 0, "page_idx": 0, "attempt": 0}
+    lines = [json.dumps(dict(zip(document, row[:5])) | {"text" if isinstance(row[5], str) else "body": row[5]}) for row in rows]
+    (tmp_path / "pages.json").write_text("\n".join([*lines, "{broken", '{"job": 1}']))
+    pages = read_pages(spark, str(tmp_path))
+    told = page_outcomes(pages, on_bad).cache()
+    assert told.count() == len(lines) + 2
+    assert sorted(r.raw or "" for r in told.where("outcome = 'malformed'").collect()) == ["", "{broken"]
+    nodes = node_outcomes(told, 40, None).cache()
+    assert nodes.count() == sum(len(row[5]["data"]["search"]["nodes"]) for row in rows if isinstance(row[5], dict))
+    stored = sorted((r.job, r.query_idx, r.page_idx, r.pos, r.id) for r in nodes.where("outcome = 'stored'").collect())
+    assert stored == sorted((r.job, r.query_idx, r.page_idx, r.pos, r.id) for r in replay(pages, 40, on_bad).collect())
+    rejected = nodes.where("outcome = reason")
+    assert rejected.count() > 0 and rejected.where("id > 0").count() == 0
+
+
+def test_runs_with_the_same_pages_stay_apart(spark, tmp_path):
+    days = ["2024-03-01", "2024-03-02"]
+    lines = []
+    for at, day in enumerate(days):
+        page = {"run": f"r{at}", "fetched_date": day, "http_status": 200, "job": 0, "query_idx": 0, "page_idx": 0, "attempt": 0}
+        lines.append(json.dumps(page | {"body": body([node(7) | {"stargazerCount": at}, node(8 + at)], has_next=False)}))
+    lines.append(json.dumps(page | {"query_idx": 1, "http_status": 502, "text": "bad gateway"}))
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "pages.json").write_text("\n".join(lines))
+    roots = Roots(*(str(tmp_path / name) for name in ("repo", "stats", "bad")))
+    loaded = harvest_pages(read_pages(spark, str(tmp_path / "landing")), roots, dt.date(2020, 1, 1), label="both")
+    assert {r.outcome: r.rows for r in loaded.report.collect()} == {"stored": 4, "page_server_error": 1}
+    stats = sorted((r.repo_id, str(r.fetched_date), r.stars) for r in read_stats(spark, roots.stats).collect())
+    assert stats == [(7, days[0], 0), (7, days[1], 1), (8, days[0], 8), (9, days[1], 9)]
+    (lost,) = spark.read.parquet(roots.bad).collect()
+    assert (lost.run, lost.reason, lost.raw) == ("r1", "page_server_error", "bad gateway")
+
+
+def test_replay_shuffles_three_times(spark):
+    plan = replay(frame(spark, landed_pages(1)), 40)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
