@@ -466,6 +466,60 @@ def single_job_coverage(t: Tables) -> DataFrame:
     return coverage.single_job_counts(s.repo(t.part).withColumn("stars", F.col("stars") * 7))
 
 
+_SORTED_COVER = {
+    "language": "lang", "stars": "stars", "size": "size_kb", "license": "license", "topic": "topic", "fork": "fork", "archived": "archived",
+}
+
+
+def _sorted_sql(strategies: str) -> str:
+    """Rows under the queries of some strategies, with the flags that these exclude."""
+    return f"""
+    WITH {_matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL},
+    stated AS ({_BOUNDS_SQL.replace('SELECT job,', 'SELECT strategy, query_string, job,', 1)}),
+    wanted AS (
+      SELECT DISTINCT query_string, language, topic, license, coalesce(star_lo, 0) AS s0, coalesce(star_hi, 9000000000) AS s1,
+        coalesce(size_lo, 0) AS k0, coalesce(size_hi, 9000000000) AS k1
+      FROM stated WHERE query_idx = 0 AND strategy IN ({strategies})
+    ),
+    kinds AS (
+      SELECT id, stars, lang, id * 13 % 6000 AS size_kb, {_list_sql(v.LICENSES)}[id % {len(v.LICENSES)} + 1] AS license,
+        {_list_sql(v.TOPICS)}[id % {len(v.TOPICS)} + 1] AS topic, id % 5 = 0 AS fork, id % 7 = 0 AS archived FROM coded
+    )
+    SELECT id, query_string FROM kinds k JOIN wanted w
+    ON stars BETWEEN s0 AND s1 AND size_kb BETWEEN k0 AND k1 AND (w.language IS NULL OR w.language = lang)
+       AND (w.topic IS NULL OR w.topic = k.topic) AND (w.license IS NULL OR w.license = k.license)
+       AND NOT (fork AND query_string LIKE '%fork:false%') AND NOT (archived AND query_string LIKE '%archived:false%')
+    """
+
+
+def _kinds(t: Tables) -> DataFrame:
+    id = F.col("id")
+
+    def entry(values: list[str]):
+        return F.element_at(F.array(*map(F.lit, values)), (id % len(values) + 1).cast("int"))
+
+    return _coded(t).withColumns(
+        {
+            "size_kb": id * 13 % 6000,
+            "license": entry(v.LICENSES),
+            "topic": entry(v.TOPICS),
+            "fork": id % 5 == 0,
+            "archived": id % 7 == 0,
+        }
+    )
+
+
+@check(_sorted_sql("'topic', 'language'"))
+def coverage_by_topic(t: Tables) -> DataFrame:
+    cover = {name: column for name, column in _SORTED_COVER.items() if name not in ("size", "license")}
+    return coverage.coverage(_kinds(t), _matrix(t, "fine"), cover)
+
+
+@check(_sorted_sql("'topic', 'language', 'size', 'license'"))
+def coverage_by_license_and_size(t: Tables) -> DataFrame:
+    return coverage.coverage(_kinds(t), _matrix(t, "fine"), _SORTED_COVER)
+
+
 # Outputs: written under the shared folder and read back
 
 

@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harvest.functions.names import owner_slash_name
-from harvest.operators.ranking import first_seen
+from harvest.operators.ranking import default_salts, first_seen
 from harvest.schemas import EXPORT_COLUMNS
 
+#: Copies of a value that one row of `only_left` stands for before they are written out.
+COPIES = 100_000
+
 
 def consolidate(
     dfs: Sequence[DataFrame] | DataFrame, order: Sequence[Column | str] = ("job",), key: str = "id"
@@ -41,8 +44,16 @@ def in_both(left: DataFrame, right: DataFrame, col: str = "id") -> DataFrame:
 
 
 def only_left(left: DataFrame, right: DataFrame, col: str = "id") -> DataFrame:
-    """Values of the first input that the second lacks, each as often as it is left over."""
-    return left.select(col).exceptAll(right.select(col))
+    """Values of the first input that the second lacks, each as often as it is left over.
+
+    Values are counted first, and the copies of a frequent value are written out by many tasks.
+    """
+    signed = left.select(col, F.lit(1).alias("_n")).union(right.select(col, F.lit(-1)))
+    over = signed.groupBy(col).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+    parts = over.select(col, "_n", F.explode(F.expr(f"sequence(0, (_n - 1) div {COPIES})")).alias("_part"))
+    spread = parts.repartition(default_salts(left.sparkSession), col, "_part")
+    copies = F.array_repeat(F.lit(1), F.least(F.lit(COPIES), F.col("_n") - F.col("_part") * COPIES).cast("int"))
+    return spread.select(col, F.explode(copies)).select(col)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -133,3 +133,16 @@ def test_bands_equal_a_range_join(spark, scheme, bands):
     for x in edges:
         inside = [b for b in bands if (bounds(b)[0] is None or x >= bounds(b)[0]) and (bounds(b)[1] is None or x <= bounds(b)[1])]
         assert got[x] == (inside[0] if inside else None)
+
+
+def test_bounds_of_fixed_texts(spark):
+    fine = {r.query_string: r for r in query_matrix(spark, 200).collect()}
+    small = fine["is:public size:<100 stars:1..8 sort:updated"]
+    assert (small.star_lo, small.star_hi, small.size_lo, small.size_hi) == (1, 8, None, 99)
+    recent = fine["is:public pushed:>2024-06-01 stars:0..2 sort:updated"]
+    assert (str(recent.pushed_lo), recent.pushed_hi, recent.star_hi) == ("2024-06-02", None, 2)
+    coarse = {r.query_string: r for r in query_matrix(spark, 200, "coarse").collect()}
+    fallback, recent = coarse["is:public stars:1..25 sort:updated"], coarse["is:public pushed:>2024-01-01 stars:1..15 sort:updated"]
+    assert (fallback.star_lo, fallback.star_hi, str(recent.pushed_lo), recent.star_hi) == (1, 25, "2024-01-02", 15)
+    for scheme in ("fine", "coarse"):
+        assert query_matrix(spark, 1, scheme).dtypes == query_matrix(spark, 2, scheme).dtypes

@@ -16,6 +16,7 @@ from harvest.plans.load import Roots, load_records
 from harvest.schemas import REPO, STATS, conform
 from harvest.sources.exports import export_csv, write_bad, write_jobs
 from harvest.sources.tables import (
+    delete_stored,
     drop_versions,
     empty,
     publish_repo,
@@ -307,3 +308,23 @@ def test_csv_reads_back_and_jobs_stay(spark, tmp_path):
 def test_star_counts_out_of_range_are_rejected(spark):
     stats = stats_from_records(spark.createDataFrame([(1, "2024-01-01", 3_000_000_000), (2, "2024-01-01", 5)], "repoId long, fetched_date string, stars long"))
     assert {r.repo_id: r.stars for r in stats.collect()} == {1: None, 2: 5}
+
+
+def test_left_over_copies(spark, monkeypatch):
+    monkeypatch.setattr(combine, "COPIES", 3)
+    left = spark.createDataFrame([(v,) for v in [1] * 8 + [2] * 3 + [None] * 4 + [5]], "id int")
+    right = spark.createDataFrame([(v,) for v in [1, 2, 2, 2, 2, None, 7]], "id int")
+    got = [r.id for r in combine.only_left(left, right).collect()]
+    assert sorted(got, key=str) == [1] * 7 + [5] + [None] * 3
+    assert combine.only_left(left.limit(0), right).count() == 0
+
+
+def test_delete_from_the_stored_tables(spark, tmp_path):
+    repo, stats = str(tmp_path / "repo"), str(tmp_path / "stats")
+    publish_repo(repo_frame(spark, [(i, "n", "o", "matrix_0") for i in (1, 2, 3)]), repo)
+    days = [DAY, DAY + dt.timedelta(1), DAY + dt.timedelta(2)]
+    store_stats(spark.createDataFrame([(1, days[0], 5, 0), (2, days[0], 6, 0), (1, days[1], 7, 0), (3, days[2], 8, 0)], "repo_id long, fetched_date date, stars int, seq int"), stats)
+    for _ in range(2):
+        delete_stored(spark.createDataFrame([(1,), (1,), (9,)], "id long"), repo, stats)
+        assert sorted(r.id for r in read_repo(spark, repo).collect()) == [2, 3]
+        assert sorted((r.repo_id, r.fetched_date) for r in read_stats(spark, stats).collect()) == [(2, days[0]), (3, days[2])]
