@@ -13,19 +13,19 @@ from harvest.schemas import REPO
 from harvest.sources.pages import explode_nodes, parse_pages, read_pages
 
 FULL = {
-    "databaseId": 123456,
-    "name": "test-repo",
-    "url": "https://example.com/test-user/test-repo",
+    "databaseId": 90210,
+    "name": "reedbed",
+    "url": "https://example.com/heron/reedbed",
     "createdAt": "2023-01-01T00:00:00Z",
-    "stargazerCount": 150,
+    "stargazerCount": 37,
     "forkCount": 10,
     "primaryLanguage": {"name": "Python"},
-    "owner": {"login": "test-user"},
+    "owner": {"login": "heron"},
     "licenseInfo": {"name": "MIT License"},
-    "pushedAt": "2023-12-01T10:00:00Z",
-    "updatedAt": "2023-12-01T10:30:00Z",
+    "pushedAt": "2023-11-08T07:15:00Z",
+    "updatedAt": "2023-11-09T18:45:00Z",
 }
-MINIMAL = {"databaseId": 789, "name": "m", "owner": {"login": "o"}, "url": "u", "stargazerCount": 5}
+MINIMAL = {"databaseId": 7040, "name": "m", "owner": {"login": "o"}, "url": "u", "stargazerCount": 5}
 
 
 def page(nodes):
@@ -41,14 +41,14 @@ def test_full_node(spark):
     (row,) = records.to_repo(nodes_of(spark, [FULL])).collect()
     assert row.asDict() == {
         "pos": 0,
-        "id": 123456,
-        "name": "test-repo",
-        "owner": "test-user",
-        "url": "https://example.com/test-user/test-repo",
-        "stars": 150,
+        "id": 90210,
+        "name": "reedbed",
+        "owner": "heron",
+        "url": "https://example.com/heron/reedbed",
+        "stars": 37,
         "created_at": dt.datetime(2023, 1, 1),
-        "pushed_at": dt.datetime(2023, 12, 1, 10),
-        "updated_at": dt.datetime(2023, 12, 1, 10, 30),
+        "pushed_at": dt.datetime(2023, 11, 8, 7, 15),
+        "updated_at": dt.datetime(2023, 11, 9, 18, 45),
         "primary_language": "Python",
         "fork_count": 10,
         "license_name": "MIT License",
@@ -94,7 +94,7 @@ def test_missing_key(spark, key, reason):
 
 def test_empty_and_null_nodes_are_rejected(spark):
     checked = records.check_node(nodes_of(spark, [{}, None, 5, [1], MINIMAL]))
-    assert [r.node.databaseId for r in checked.ok.collect()] == [789]
+    assert [r.node.databaseId for r in checked.ok.collect()] == [7040]
     assert sorted((r.pos, r.reason) for r in checked.bad.collect()) == [
         (0, "id_missing"),
         (1, "not_an_object"),

@@ -100,8 +100,8 @@ def stats_frame(spark, rows):
 def test_stats_upsert(spark):
     first = stats_frame(spark, [(123, DAY, 100), (456, DAY, 0)])
     table = upsert.upsert_stats(empty(spark, STATS), first)
-    again = upsert.upsert_stats(table, stats_frame(spark, [(123, DAY, 110), (123, DAY, 120), (789, DAY, 1)]))
-    assert {(r.repo_id, r.stars) for r in again.collect()} == {(123, 120), (456, 0), (789, 1)}
+    again = upsert.upsert_stats(table, stats_frame(spark, [(123, DAY, 110), (123, DAY, 120), (7040, DAY, 1)]))
+    assert {(r.repo_id, r.stars) for r in again.collect()} == {(123, 120), (456, 0), (7040, 1)}
     assert again.schema.simpleString() == STATS.simpleString()
 
 
@@ -165,7 +165,7 @@ def test_parents_and_cascade(spark):
 
 
 def test_metrics(spark):
-    rows = spark.createDataFrame([("user1", 100), ("user2", 50), ("user1", 200)], "owner string, stars long")
+    rows = spark.createDataFrame([("heron", 100), ("egret", 50), ("heron", 200)], "owner string, stars long")
     got = measure.crawl_metrics(rows, target=5).first()
     assert (got.rows, got.unique_owners, got.total_stars, round(got.average_stars, 2), got.success_rate, got.shortfall) == (3, 2, 350, 116.67, 1.0, 2)
     assert measure.crawl_metrics(rows, total_found=6).first().success_rate == 0.5
