@@ -213,6 +213,13 @@ def qualify_members(t: Tables) -> DataFrame:
     return qualify(rows, spec, columns).select("vec_id")
 
 
+@check("SELECT event_id FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+def qualify_created_on_timestamps(t: Tables) -> DataFrame:
+    """Days as bounds of a column of times: the whole last day counts."""
+    days = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    return qualify(t.events, {"created": days}, {"created": "ts"}).select("event_id")
+
+
 @check(
     f"""
     WITH {s.STATS_SQL}

@@ -14,7 +14,7 @@ from harvest.plans.load import Roots, export_latest, harvest_pages, load_records
 from harvest.sources import matrix, matrix_values as v
 from harvest.sources.exports import export_csv, write_jobs
 from harvest.sources.scratch import new_path
-from harvest.sources.tables import delete_stored, publish_repo, read_repo, read_stats, store_repo, store_stats
+from harvest.sources.tables import delete_stored, publish_repo, read_repo, read_stats, store_repo, store_stats, version_path
 from harvest.streaming.ingest import ingest_stream
 
 DAY = dt.date.fromisoformat(s.FETCHED)
@@ -533,6 +533,29 @@ def stored_repo(t: Tables) -> DataFrame:
     return read_repo(t.spark, root)
 
 
+@check(
+    f"""
+    WITH {s.CUSTOMER_REPO_SQL}, c(name, comment) AS (VALUES
+      ('id', 'primary key, the service''s numeric id'), ('name', 'short name'), ('owner', 'login of the owner'),
+      ('url', 'address of the record'), ('created_at', 'creation time without zone'),
+      ('alphabet_partition', 'label of the partition that found the row, such as matrix_0'), ('name_with_owner', 'owner/name'))
+    SELECT c.name, c.comment, CASE c.name WHEN 'created_at' THEN count(created_at) WHEN 'name_with_owner' THEN count(name_with_owner)
+           ELSE count(*) END AS filled
+    FROM target CROSS JOIN c GROUP BY c.name, c.comment
+    """
+)
+def stored_comments(t: Tables) -> DataFrame:
+    """The column comments that the files of a stored table hold, and how many rows fill each column."""
+    root = new_path(t.spark, "repo")
+    table = t.spark.read.parquet(version_path(root, publish_repo(s.customer_repo(t.customer), root)))
+    columns = [
+        F.struct(F.lit(f.name).alias("name"), F.lit(f.metadata.get("comment")).alias("comment"), F.col(f"n_{f.name}").alias("filled"))
+        for f in table.schema.fields
+    ]
+    counts = table.agg(*(F.count(f.name).alias(f"n_{f.name}") for f in table.schema.fields))
+    return counts.select(F.explode(F.array(*columns)).alias("c")).select("c.*")
+
+
 @check(
     f"""
     WITH {s.CUSTOMER_REPO_SQL}, {s.STATS_SQL}

@@ -16,7 +16,7 @@ from harvest.operators.records import marked, repo_reason, table_reason
 from harvest.plans.replay import node_outcomes, page_outcomes
 from harvest.schemas import page_key, run_key
 from harvest.sources.exports import export_csv, write_bad
-from harvest.sources.scratch import written
+from harvest.sources.scratch import drop_folder, new_path, staged
 from harvest.sources.tables import drop_versions, read_repo, read_stats, store_repo, store_stats
 
 
@@ -29,10 +29,17 @@ class Roots(NamedTuple):
 
 
 class Loaded(NamedTuple):
-    """Outcome of a load: stored and failed rows by reason, and the metrics of every job's stored rows."""
+    """Outcome of a load: stored and failed rows by reason, and the metrics of every job's stored rows.
+
+    Both are counted when they are read, from the staged copy of the records. `release` deletes that copy.
+    """
 
     report: DataFrame
     metrics: DataFrame
+    staged: str
+
+    def release(self) -> None:
+        drop_folder(self.report.sparkSession, self.staged)
 
 
 def write_order(records: DataFrame) -> list[str]:
@@ -66,15 +73,17 @@ def load_records(
     The checked records are staged once; both tables, the rejected rows, the report and the metrics read the staged
     copy. The newest two versions of the repo table stay. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
     """
-    staged = written(checked_records(records, date), "records")
-    good = staged.filter(F.col("reason").isNull())
-    order = write_order(staged)
+    path, checked = new_path(records.sparkSession, "records"), checked_records(records, date)
+    checked.write.parquet(path)
+    rows = records.sparkSession.read.schema(checked.schema).parquet(path)
+    good = rows.filter(F.col("reason").isNull())
+    order = write_order(rows)
     store_repo(good, roots.repo, policy, order)
     drop_versions(records.sparkSession, roots.repo)
     stats = good.select(F.col("id").alias("repo_id"), F.col("stars").cast("int").alias("stars"), *order)
     store_stats(stats, roots.stats, order, None if "fetched_date" in records.columns else [date])
-    write_bad(staged.filter(F.col("reason").isNotNull()), roots.bad, label)
-    return Loaded(load_report(staged), crawl_metrics(good, [*run_key(good), "job"], target=target))
+    write_bad(rows.filter(F.col("reason").isNotNull()), roots.bad, label)
+    return Loaded(load_report(rows), crawl_metrics(good, [*run_key(good), "job"], target=target), path)
 
 
 def harvest_pages(
@@ -90,15 +99,15 @@ def harvest_pages(
     """Whole runs on landed pages: replay the jobs, store what they collect, measure it.
 
     Nodes that break a rule and pages that were not read (except attempts that a later one replaced) go to the rejected
-    rows, pages with the raw answer. The pages are parsed once, into a staged copy.
+    rows, pages with the raw answer. The pages are parsed once, into a staged copy that goes when the load is over.
     """
-    outcomes = written(page_outcomes(pages, on_bad, max_pages), "pages")
-    nodes = node_outcomes(outcomes, target)
-    broken = F.col("reason").isNotNull() & F.col("page").isin("reached", "bad_nodes")
-    taken = nodes.filter((F.col("outcome") == "stored") | broken).drop("page", "outcome")
-    unread = outcomes.filter(~F.col("outcome").isin("reached", "retried")).withColumn("reason", F.concat(F.lit("page_"), "outcome"))
-    unread = unread.drop("records", "status", "outcome")
-    return load_records(taken.unionByName(unread, allowMissingColumns=True), roots, date, policy, label, target)
+    with staged(page_outcomes(pages, on_bad, max_pages), "pages") as outcomes:
+        nodes = node_outcomes(outcomes, target)
+        broken = F.col("reason").isNotNull() & F.col("page").isin("reached", "bad_nodes")
+        taken = nodes.filter((F.col("outcome") == "stored") | broken).drop("page", "outcome")
+        unread = outcomes.filter(~F.col("outcome").isin("reached", "retried")).withColumn("reason", F.concat(F.lit("page_"), "outcome"))
+        unread = unread.drop("records", "status", "outcome")
+        return load_records(taken.unionByName(unread, allowMissingColumns=True), roots, date, policy, label, target)
 
 
 def export_latest(spark: SparkSession, roots: Roots, path: str, files: int | None = None) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,30 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str = "step") -> DataFrame:
-    """The same rows, read back from a table in the shared folder: a lost executor re-reads files, not the lineage."""
+def folder_of(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, where = folder_of(spark, path)
+    fs.delete(where, True)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A copy like that of `written`, deleted when the block has ended well; after an error it stays."""
     path = new_path(df.sparkSession, label)
+    yield _copy(df, path)
+    drop_folder(df.sparkSession, path)
+
+
+def _copy(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, label: str = "step") -> DataFrame:
+    """The same rows, read back from a table in the shared folder: a lost executor re-reads files, not the lineage."""
+    return _copy(df, new_path(df.sparkSession, label))

@@ -14,20 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from harvest.operators.upsert import upsert_repo, upsert_stats
 from harvest.schemas import REPO, STATS, conform
-from harvest.sources.scratch import written
+from harvest.sources.scratch import drop_folder, folder_of, staged
 
 _VERSION = "version-"
 
 
-def _folder(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the complete versions under `root`, ascending."""
-    fs, where = _folder(spark, root)
+    fs, where = folder_of(spark, root)
     if not fs.exists(where):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(where) if status.isDirectory()]
@@ -45,8 +39,7 @@ def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
     if keep < 1:
         raise ValueError("the newest version has to stay")
     for number in versions(spark, root)[:-keep]:
-        fs, where = _folder(spark, version_path(root, number))
-        fs.delete(where, True)
+        drop_folder(spark, version_path(root, number))
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -86,7 +79,7 @@ def store_repo(
 
 def read_stats(spark: SparkSession, root: str) -> DataFrame:
     """The stats table; filters on fetched_date prune its folders."""
-    fs, where = _folder(spark, root)
+    fs, where = folder_of(spark, root)
     if not fs.exists(where):
         return empty(spark, STATS)
     return conform(spark.read.schema(STATS).parquet(root), STATS)
@@ -103,17 +96,21 @@ def store_stats(
     """Upsert a batch into the stats table, rewriting only its days.
 
     The merged days are written aside first. The overwrite then reads that copy and not the folders it replaces, so a
-    failure half-way loses nothing, and writing the batch again repairs the table.
+    failure half-way loses nothing, and writing the batch again repairs the table. The copy goes when the days are written.
     """
     spark = batch.sparkSession
     dates = touched_dates(batch) if dates is None else list(dates)
     if not dates:
         return
     target = read_stats(spark, root).filter(F.col("fetched_date").isin(dates))
-    merged = written(upsert_stats(target, batch.filter(F.col("fetched_date").isin(dates)), seq), "stats")
-    # Rebalancing gathers the rows of a day into few files and splits a day that is too large for one.
-    rows = merged.hint("rebalance", F.col("fetched_date"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fetched_date").parquet(root)
+    with staged(upsert_stats(target, batch.filter(F.col("fetched_date").isin(dates)), seq), "stats") as merged:
+        _overwrite_days(merged, root)
+
+
+def _overwrite_days(rows: DataFrame, root: str) -> None:
+    """Rebalancing gathers the rows of a day into few files and splits a day that is too large for one."""
+    days = rows.hint("rebalance", F.col("fetched_date"))
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fetched_date").parquet(root)
 
 
 def delete_stored(ids: DataFrame, repo_root: str, stats_root: str) -> None:
@@ -126,13 +123,11 @@ def delete_stored(ids: DataFrame, repo_root: str, stats_root: str) -> None:
     dates = touched_dates(stats.join(gone, stats["repo_id"] == gone["id"], "left_semi"))
     if dates:
         days = stats.filter(F.col("fetched_date").isin(dates))
-        kept = written(days.join(gone, days["repo_id"] == gone["id"], "left_anti"), "stats")
-        rows = kept.hint("rebalance", F.col("fetched_date"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("fetched_date").parquet(stats_root)
-        # The overwrite leaves a day alone that has no rows any more.
-        for day in set(dates) - set(touched_dates(kept)):
-            fs, where = _folder(spark, f"{stats_root}/fetched_date={day}")
-            fs.delete(where, True)
+        with staged(days.join(gone, days["repo_id"] == gone["id"], "left_anti"), "stats") as kept:
+            _overwrite_days(kept, stats_root)
+            # The overwrite leaves a day alone that has no rows any more.
+            for day in set(dates) - set(touched_dates(kept)):
+                drop_folder(spark, f"{stats_root}/fetched_date={day}")
     publish_repo(read_repo(spark, repo_root).join(gone, "id", "left_anti"), repo_root)
 
 

@@ -14,6 +14,7 @@ from harvest.operators.records import marked, node_reason, record_fields
 from harvest.plans.load import Roots, load_records
 from harvest.schemas import LANDED, MALFORMED, page_key
 from harvest.sources.pages import explode_nodes
+from harvest.sources.scratch import drop_folder
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def ingest_stream(
     Micro-batches only stage their checked rows, good and bad, each in a folder that a repetition overwrites. One upsert
     in write order stores all staged batches, so neither the tables nor the cost depend on how the files were cut into
     batches. After a restart only files not yet taken are read; batches that were staged but not stored are stored then.
-    Old versions of the repo table are dropped, the newest two stay.
+    Staged batches are deleted when they are stored. Old versions of the repo table are dropped, the newest two stay.
     """
     stream = PurePosixPath(checkpoint).name
     staged, stored = f"{checkpoint}-staged", f"{checkpoint}-stored"
@@ -72,8 +73,10 @@ def ingest_stream(
         batches = [r["batch"] for r in waiting.select("batch").distinct().collect()]
         if batches:
             rows = waiting.where(F.col("batch").isin(batches))
-            load_records(rows.drop("batch"), roots, date, policy, label=f"{stream}-{min(batches)}")
+            load_records(rows.drop("batch"), roots, date, policy, label=f"{stream}-{min(batches)}").release()
             rows.select(F.col("batch").cast("int").alias("batch")).distinct().write.mode("append").parquet(stored)
+            for batch in batches:
+                drop_folder(spark, f"{staged}/batch={batch}")
 
     # Both folders exist from the start, with a batch that holds nothing.
     stage(spark.createDataFrame([], LANDED), -1)

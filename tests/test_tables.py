@@ -3,6 +3,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -15,6 +16,7 @@ from harvest.operators.records import stats_from_records
 from harvest.plans.load import Roots, load_records
 from harvest.schemas import REPO, STATS, conform
 from harvest.sources.exports import export_csv, write_bad, write_jobs
+from harvest.sources.scratch import scratch_dir
 from harvest.sources.tables import (
     delete_stored,
     drop_versions,
@@ -241,6 +243,25 @@ def test_load(spark, tmp_path):
         assert spark.read.parquet(roots.bad).count() == 1
 
 
+def test_loads_leave_nothing_in_the_shared_folder(spark, tmp_path):
+    roots = Roots(*(str(tmp_path / name) for name in ("repo", "stats", "bad")))
+    shared = Path(scratch_dir(spark))
+
+    def folders():
+        return {f.name for f in shared.iterdir()} if shared.exists() else set()
+
+    before = folders()
+    for stars in range(4):
+        loaded = load_records(spark.createDataFrame([(0, 0, 0, 0, 1, "a", "x", "u", stars, None)], RECORDS), roots, DAY, label="run")
+        assert {name.split("-")[0] for name in folders() - before} == {"records"}
+        assert loaded.report.first().rows == 1
+        loaded.release()
+        assert folders() == before
+    delete_stored(spark.createDataFrame([(1,)], "id long"), roots.repo, roots.stats)
+    assert folders() == before
+    assert len(versions(spark, roots.repo)) == 3 and read_stats(spark, roots.stats).count() == 0
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     def land(name, ids, status=200):
         nodes = [{"databaseId": i, "name": f"n{i}", "owner": {"login": "o"}, "url": "u", "stargazerCount": i * 10} for i in ids]
