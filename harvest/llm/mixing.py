@@ -36,8 +36,8 @@ def words(text: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with __nth, the place of a row among the rows of its doc_id."""
-    window = Window.partitionBy("doc_id").orderBy("source", "__size")
+    """`docs` with __nth, the place of a row among the rows of its doc_id. It depends on the row alone, so a rerun copies the same texts."""
+    window = Window.partitionBy("doc_id").orderBy("source", "__size", F.xxhash64("text"))
     return docs.withColumn("__size", words(F.col("text"))).withColumn("__nth", F.row_number().over(window))
 
 

@@ -226,8 +226,11 @@ def groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` without near-duplicates: of each group the row with the smallest doc_id stays, once. Rows without doc_id stay."""
+    """The rows of `docs` without near-duplicates: of each group the row with the smallest doc_id stays, once. Rows without doc_id stay.
+
+    Of rows that share a doc_id one stays, chosen by a hash of its text.
+    """
     kept = groups(docs, radius).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    once = named.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("__nth = 1").drop("__nth")
+    once = named.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("__nth = 1").drop("__nth")
     return once.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -254,6 +254,13 @@ def test_mix_meets_its_targets(docs, nothing):
     assert mixing.copies(nothing).count() == 0
 
 
+def test_reruns_mix_and_keep_the_same_texts_of_one_id(spark):
+    rows = [(1, f"word{i} and more", "a") for i in range(8)] + [(2, "something else " * 3, "b"), (3, "a third text", "c")]
+    one, other = (spark.createDataFrame(r, "doc_id long, text string, source string") for r in (rows, rows[::-1]))
+    assert Counter(map(tuple, mixing.mixed(one).collect())) == Counter(map(tuple, mixing.mixed(other.repartition(3)).collect()))
+    assert set(neardup.one_of_each(one).collect()) == set(neardup.one_of_each(other.repartition(3)).collect())
+
+
 def test_chat_digests_and_windows(spark):
     rng = random.Random(3)
     rows = [(c, t, rng.choice(["user", "assistant", "a\nb\\n<|", None]), rng.choice(AWKWARD)) for c in range(12) for t in range(rng.randint(1, 30))]
