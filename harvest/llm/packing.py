@@ -43,7 +43,7 @@ def encoded(docs: DataFrame, path: str | None = None, end: int = END) -> DataFra
     where = path or public_tokenizers.path(VOCABULARY)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, last = Encoder(where), np.array([end], "<u4").tobytes()
+        encoder, last = Encoder(where, special_as_text=False), np.array([end], "<u4").tobytes()
         chunk, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             starts, counts, ids = [], [], []

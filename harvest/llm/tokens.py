@@ -43,11 +43,17 @@ class Encoder:
     Merges never cross the pieces into which the vocabulary cuts a text, so the ids of a text are those of its pieces, and the
     ids of pieces that were seen are kept, up to a bound. The short way holds for Latin-1 text; words with other
     characters are encoded by the library as a whole.
+
+    `special_as_text` encodes added tokens in a text (such as <|endoftext|>) like any other characters. Without it the library
+    is left as loaded: a text that holds an added token goes to it whole, and the token gets its own id.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [] if special_as_text else self.tokenizer.get_added_tokens_decoder().values()
+        # Some added tokens are sought in the normalized text; more matches than the library finds only cost time.
+        self.added = re.compile("|".join(re.escape(t.content) for t in added), re.IGNORECASE) if added else None
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -85,6 +91,8 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
+        if self.added and self.added.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         try:
             text.encode("latin-1")
             return self._latin(text)
@@ -98,7 +106,7 @@ def with_length(docs: DataFrame, to: str = "length", text: str = "text", path: s
 
     @F.pandas_udf("long")
     def length(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(where)
+        encoder = Encoder(where, special_as_text=False)
         for texts in batches:
             yield pd.Series([len(encoder.ids(t)) // 4 for t in texts], dtype="int64")
 

@@ -159,6 +159,19 @@ def test_ids_equal_the_library(docs):
             assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_keep_the_ids_of_the_library(spark):
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    texts = ["First article. <|endoftext|> Second article.", "<|startoftext|>中文 É<|endoftext|><|endoftext|>x", "A <|ENDOFTEXT|> b <|endoftext", *filter(None, AWKWARD)]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 in ids[0] and 49406 in ids[1]
+    frame = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    assert [r["length"] for r in tokens.with_length(frame).orderBy("doc_id").collect()] == [*map(len, ids)]
+    got = defaultdict(list)
+    for r in packing.pack(frame).collect():
+        got[r["doc_id"]].append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    assert [sum((x for _, x in sorted(got[i])), []) for i in range(len(texts))] == [[*x, packing.END] for x in ids]
+
+
 def test_length_histogram(docs, nothing):
     encoder = tokens.Encoder(public_tokenizers.path(tokens.VOCABULARY))
     lengths = sorted(len(encoder.ids(r["text"] or "")) // 4 for r in docs.collect())
