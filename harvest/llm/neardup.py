@@ -25,10 +25,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
-from pyspark.sql.window import Window
 
 from harvest.llm.common import quoted
 from harvest.llm.components import components
+from harvest.llm.similar import elected, key_of, verified
 from harvest.sources.scratch import written
 
 SHINGLE = 3
@@ -225,12 +225,16 @@ def groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.join(written(named_all, "simhash-named"), F.col("bits") == F.col("print")).select("doc_id", "bits", "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` without near-duplicates: of each group the row with the smallest doc_id stays, once. Rows without doc_id stay.
+def one_of_each(docs: DataFrame, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each group one row stays, the one with the smallest doc_id, see `elected`.
 
-    Of rows that share a doc_id one stays, chosen by a hash of its text.
+    With `similarity` a fingerprint only makes a candidate: a row leaves for a text to which its own has that similarity of
+    five-word shingles. Texts of that similarity whose fingerprints differ in more bits stay; `similar.one_of_similar` finds them.
     """
-    kept = groups(docs, radius).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    once = named.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("__nth = 1").drop("__nth")
-    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+    by_text = groups(docs.select(key_of().alias("doc_id"), "text"), radius)
+    pairs = by_text.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
+    if similarity is not None:
+        pairs = verified(pairs, docs, similarity)
+    pairs = written(pairs, "simhash-roots")
+    roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return elected(docs, roots)
