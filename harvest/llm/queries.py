@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvest.llm import chat, cleaning, merkle, mixing, neardup, packing, quality, sharding, tokens, toxicity
+from harvest.llm import chat, cleaning, merkle, mixing, neardup, negatives, packing, periods, quality, sharding, suffixes, tokens, toxicity
 from harvest.llm.common import held_out
 
 QUERIES: dict = {}
@@ -96,3 +96,19 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = cleaning.judged(table(spark, folder, "documents").select("doc_id", "text"))
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "words_left"]
     return judged.select("doc_id", *figures, "base_failed", "kept")
+
+
+@query()
+def op11_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    rows = suffixes.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.digests(periods.with_runs(periods.planted(table(spark, folder, "documents"))))
+
+
+@query(negatives.SQL)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(negatives.prepared(table(spark, folder, "embeddings")), F.col("id") % 50 == 0)
