@@ -27,10 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvest.sources.scratch import written
+
 LENGTH = 50
 #: Bytes of a mark: two words of eight.
 GRAM = 16
@@ -72,8 +73,11 @@ def _hashes(data: np.ndarray) -> np.ndarray:
 
 
 def marks(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(text, first window, number of windows, hash of the mark) of every segment, windows numbered by their place in `data`."""
-    found = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)]
+    """(text, first window, number of windows, place of the mark, its hash) of every segment; places count from the begin of `data`.
+
+    The lowest bit of a hash is free for the use of callers.
+    """
+    found = [(np.zeros(0, np.int64),) * 5]
     wide = length - GRAM + 1
     for begin in range(int(bounds[0]), int(bounds[-1]) - length + 1, SLICE):
         stop = min(begin + SLICE + length - 1, int(bounds[-1]))
@@ -91,8 +95,9 @@ def marks(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH) -> tuple[n
         mark, text = (least[at] & LOW).astype(np.int64), text[at]
         new = np.append(True, (mark[1:] != mark[:-1]) | (text[1:] != text[:-1]))
         firsts = np.flatnonzero(new)
-        found.append((text[firsts], begin + at[firsts], np.diff(np.append(firsts, len(at))), h[mark[firsts]]))
-    return tuple(np.concatenate([f[i] for f in found]) for i in range(4))
+        code = h[mark[firsts]].view(np.int64) & ~1
+        found.append((text[firsts], begin + at[firsts], np.diff(np.append(firsts, len(at))), begin + mark[firsts], code))
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(5))
 
 
 def _gathered(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -110,8 +115,8 @@ def _gathered(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _marks_by_key(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Each (mark, key) of a batch once, sorted; where a mark begins, and its number of keys."""
-    text, _, _, code = marks(*bytes_of(batch.column("text")), length)
-    code, key = code.view(np.int64), batch.column("key").to_numpy()[text]
+    text, _, _, _, code = marks(*bytes_of(batch.column("text")), length)
+    key = batch.column("key").to_numpy()[text]
     order = np.lexsort((key, code))
     code, key = code[order], key[order]
     new = np.append(True, (code[1:] != code[:-1]) | (key[1:] != key[:-1]))[: len(code)]
@@ -148,13 +153,16 @@ def shared_marks(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
             for batch in _gathered(whole):
                 code, key, begins, counts = _marks_by_key(batch, length)
                 known = np.arange(len(code)) - np.repeat(begins, counts) >= 2
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (code, key, known)], ["code", "key", "known"])
+                # By key: equal neighbours are shuffled as less.
+                order = np.lexsort((code, key))
+                yield pa.RecordBatch.from_arrays([pa.array(key[order]), pa.array((code & ~1 | known)[order])], ["key", "mark"])
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_code, held_key = np.zeros(0, np.int64), np.zeros(0, np.int64)
         open_code = None
         for batch in batches:
-            code, key, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("code", "key", "known"))
+            mark, key = batch.column("mark").to_numpy(), batch.column("key").to_numpy()
+            code, known = mark & ~1, (mark & 1).astype(bool)
             done_code, done_key = code[known], key[known]
             code, key = np.append(held_code, code[~known]), np.append(held_key, key[~known])
             if len(code):
@@ -171,45 +179,52 @@ def shared_marks(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(done_key), pa.array(done_code)], ["key", "code"])
 
     # Sorted, so that a task that runs again makes the same batches and sends the same rows.
-    rows = keyed.select("doc_id", "key", "text").sortWithinPartitions("key").mapInArrow(seen, "code long, key long, known boolean")
-    spread = rows.repartition(F.when(F.col("known"), F.col("key")).otherwise(F.col("code"))).sortWithinPartitions("code", "key")
+    rows = keyed.select("doc_id", "key", "text").sortWithinPartitions("key").mapInArrow(seen, "key long, mark long")
+    place = F.when(F.col("mark").bitwiseAND(1) == 1, F.col("key")).otherwise(F.col("mark"))
+    spread = rows.repartition(place).sortWithinPartitions("mark", "key")
     return spread.mapInArrow(judged, "key long, code long")
 
 
-SEGMENT = "place long, segment binary, doc_id long, key long, starts binary, spans binary"
-SEGMENT_NAMES = ["place", "segment", "doc_id", "key", "starts", "spans"]
+SEGMENT = "mark int, segment binary, doc_id long, key long, starts binary, spans binary"
+SEGMENT_NAMES = ["mark", "segment", "doc_id", "key", "starts", "spans"]
+#: The mark of a window that travels alone.
+ALONE = -1
+
+
+def place() -> Column:
+    """What equal windows of segments have in common: the bytes of the mark, or the whole window."""
+    mark = F.when(F.col("mark") == ALONE, F.col("segment")).otherwise(F.substring(F.col("segment"), F.col("mark") + 1, F.lit(GRAM)))
+    return F.when(F.col("segment").isNull(), F.col("key")).otherwise(F.xxhash64(mark))
 
 
 def segments(texts: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
-    """The segments of shared marks: place (what equal windows have in common), bytes, and where they start in their text.
+    """The segments of shared marks: where the mark lies in them, their bytes, and where they start in their text.
 
     `texts` has doc_id, key, text and codes. A segment that a batch has in several texts goes on with the smallest doc_id; in the
     texts of larger ids all its windows are removed, which a row with spans alone tells.
     """
 
     def chosen(batch: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-        text, lo, n, code = marks(data, bounds, length)
-        code = code.view(np.int64)
+        text, lo, n, mark, code = marks(data, bounds, length)
         lists = batch.column("codes").cast(pa.large_list(pa.int64()))
         owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
         mix = lambda code, text: code * np.int64(0x2545F4914F6CDD1D) + text  # noqa: E731  an equal sum only makes a candidate
         with np.errstate(over="ignore"):
             take = np.isin(mix(code, text), mix(lists.flatten().to_numpy(), owner))
-        text, lo, n, code = (x[take] for x in (text, lo, n, code))
+        text, lo, n, mark, code = (x[take] for x in (text, lo, n, mark - lo, code))
         split = np.isin(code, hot)
         if split.any():  # each window for itself
-            each = np.repeat(np.flatnonzero(split), n[split])
-            nth = np.arange(len(each)) - np.repeat(np.cumsum(n[split]) - n[split], n[split])
-            text, lo, code = (np.append(x[~split], y) for x, y in ((text, text[each]), (lo, lo[each] + nth), (code, code[each])))
-            n = np.append(n[~split], np.ones(len(each), np.int64))
-            split = np.append(np.zeros(len(text) - len(each), bool), np.ones(len(each), bool))
-        return text, lo, n, code, split
+            row, nth = _pairs(n[split])
+            each = np.flatnonzero(split)[row]
+            alone = (text[each], lo[each] + nth, np.ones(len(each), np.int64), np.full(len(each), ALONE))
+            text, lo, n, mark = (np.append(x[~split], y) for x, y in zip((text, lo, n, mark), alone, strict=True))
+        return text, lo, n, mark
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _gathered(whole):
                 data, bounds = bytes_of(batch.column("text"))
-                text, lo, n, code, split = chosen(batch, data, bounds)
+                text, lo, n, mark = chosen(batch, data, bounds)
                 ids, keys, raw = batch.column("doc_id").to_numpy(), batch.column("key").to_numpy(), data.tobytes()
                 own = [raw[a:b] for a, b in zip(lo.tolist(), (lo + n + length - 1).tolist(), strict=True)]
                 least: dict[bytes, int] = {}
@@ -217,17 +232,15 @@ def segments(texts: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFra
                     if least.setdefault(s, i) > i:
                         least[s] = i
                 goes = np.array([least[s] for s in own], np.int64) < ids[text]
-                starts: dict[tuple[bytes, int], list[int]] = {}
-                places: dict[bytes, int] = {}
+                starts: dict[tuple[int, bytes, int], list[int]] = {}
                 local = lo - bounds[text]
                 stays = np.flatnonzero(~goes)
-                for r, t, a, c, alone in zip(stays.tolist(), text[stays].tolist(), local[stays].tolist(), code[stays].tolist(), split[stays].tolist(), strict=True):
-                    starts.setdefault((own[r], t), []).append(a)
-                    places[own[r]] = hash_of(own[r]) if alone else c
-                t = np.fromiter((t for _, t in starts), np.int64, len(starts))
+                for r, t, a, m in zip(stays.tolist(), text[stays].tolist(), local[stays].tolist(), mark[stays].tolist(), strict=True):
+                    starts.setdefault((t, own[r], m), []).append(a)
+                t = np.fromiter((t for t, *_ in starts), np.int64, len(starts))
                 columns = [
-                    pa.array([places[s] for s, _ in starts], pa.int64()),
-                    pa.array([s for s, _ in starts], pa.binary()),
+                    pa.array([m for *_, m in starts], pa.int32()),
+                    pa.array([s for _, s, _ in starts], pa.binary()),
                     pa.array(ids[t], pa.int64()),
                     pa.array(keys[t], pa.int64()),
                     pa.array([np.array(x, "<i4").tobytes() for x in starts.values()], pa.binary()),
@@ -240,11 +253,6 @@ def segments(texts: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFra
     return texts.select("doc_id", "key", "text", "codes").sortWithinPartitions("key").mapInArrow(cut, SEGMENT)
 
 
-def hash_of(string: bytes) -> int:
-    """Where a window that travels alone goes: 64 bits of its bytes."""
-    return int(np.uint64(xxhash.xxh64_intdigest(string)).view(np.int64))
-
-
 def _span_rows(ids: np.ndarray, keys: np.ndarray, text: np.ndarray, begin: np.ndarray, end: np.ndarray, full: bool = False) -> pa.RecordBatch:
     """One row for each text of `text`, with its (begin, end) pairs of 32 bits."""
     order = np.argsort(text, kind="stable")
@@ -255,7 +263,7 @@ def _span_rows(ids: np.ndarray, keys: np.ndarray, text: np.ndarray, begin: np.nd
     named = {"doc_id": pa.array(ids[text[firsts]], pa.int64()), "key": pa.array(keys[text[firsts]], pa.int64()), "spans": spans}
     if full:
         none = pa.nulls(len(firsts), pa.binary())
-        named = dict(zip(SEGMENT_NAMES, [named["key"], none, named["doc_id"], named["key"], none, spans], strict=True))
+        named = dict(zip(SEGMENT_NAMES, [pa.nulls(len(firsts), pa.int32()), none, named["doc_id"], named["key"], none, spans], strict=True))
     return pa.RecordBatch.from_arrays([*named.values()], [*named])
 
 
@@ -356,7 +364,8 @@ def verdicts(cut: DataFrame, length: int = LENGTH) -> DataFrame:
         if held:
             yield refined(pa.Table.from_batches(held))
 
-    return cut.repartition("place").sortWithinPartitions("place").mapInArrow(judged, "doc_id long, key long, spans binary")
+    placed = cut.repartition(place()).withColumn("place", place()).sortWithinPartitions("place")
+    return placed.mapInArrow(judged, "doc_id long, key long, spans binary")
 
 
 def _rest(raw: bytes, spans: list[bytes]) -> tuple[int, int, bytes]:
@@ -397,18 +406,20 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id = F.col(f"__{names.index('doc_id')}").cast("long")
     text = F.coalesce(F.col(f"__{names.index('text')}").cast("string"), F.lit(""))
     keyed = flat.withColumn("__key", F.xxhash64(doc_id, F.xxhash64(text)))
-    plain = keyed.select(doc_id.alias("doc_id"), F.col("__key").alias("key"), text.alias("text"))
+    plain = lambda df: df.select(doc_id.alias("doc_id"), F.col("__key").alias("key"), text.alias("text"))
     firsts = flat.groupBy(F.xxhash64(text).alias("one"), F.xxhash64(F.lit(length), text).alias("other")).agg(F.min(doc_id).alias("first"))
     firsts = firsts.where("first is not null").select(F.xxhash64("first", "one").alias("first_key"), "first")
-    hot = hot_marks(plain, length)
-    # Joins are on the key alone, so that the texts are shuffled once for all of them; a bitwise difference is no join key.
-    heads = plain.join(firsts.hint("shuffle_hash"), (F.col("key") == F.col("first_key")) & (F.col("doc_id").bitwiseXOR(F.col("first")) == 0))
+    firsts = written(firsts, "repeats-firsts")
+    hot = hot_marks(plain(keyed), length)
+    # The key alone is the join key, so that one partitioning serves; ids are compared beside it.
+    heads = plain(keyed).join(firsts.hint("shuffle_hash"), (F.col("key") == F.col("first_key")) & F.col("doc_id").bitwiseXOR(F.col("first")).eqNullSafe(0))
     codes = shared_marks(heads, length).groupBy(F.col("key").alias("of")).agg(F.collect_list("code").alias("codes"))
+    codes = written(codes, "repeats-marks")
     told = verdicts(segments(heads.join(codes.hint("shuffle_hash"), F.col("key") == F.col("of")), hot, length), length)
-    told = told.select(F.col("key").alias("of"), F.col("doc_id").alias("id"), "spans")
+    told = written(told, "repeats-spans").select(F.col("key").alias("of"), F.col("doc_id").alias("id"), "spans")
     told = told.union(firsts.select("first_key", "first", F.lit(None).cast("binary")))
     by_text = told.repartition("of").groupBy("of", "id").agg(F.collect_list("spans").alias("spans"))
-    same = (F.col("__key") == F.col("of")) & (doc_id.bitwiseXOR(F.col("id")) == 0)
+    same = (F.col("__key") == F.col("of")) & doc_id.bitwiseXOR(F.col("id")).eqNullSafe(0)
     joined = keyed.join(by_text.hint("shuffle_hash"), same, "left")
     found = joined.withColumn("__found", _outcome(length)(text, F.col("spans"), F.col("of").isNull() & doc_id.isNotNull()))
     added = ["n_bytes", "n_removed", "n_spans", "kept"]
