@@ -1,10 +1,13 @@
 """Chat formatting in budgeted windows. DataFrame functions only.
 
 Prefix sums of the turns' tokens lay a conversation on a line that is cut into strides. Turns that lie within one stride form a
-window; a turn that crosses a cut is a window of its own, so turns are never cut and a window keeps to the budget unless a single
-turn exceeds it. Every window starts with the system turn, if the conversation opens with one, then repeats the turns
-before it that fit into the history, then gives its own turns. The loss covers the text of assistant turns where they are given
-first; repeated ones are masked.
+window; a turn that crosses a cut is a window of its own, so turns are never cut. Every window starts with the system turn, if the
+conversation opens with one, then repeats the turns before it that fit into the history and into what the system turn and its own
+turns leave of the budget, then gives its own turns. So a window passes the budget only if the system turn and one other turn
+alone do. The loss covers the text of assistant turns where they are given first; repeated ones are masked.
+
+The tokens of a turn are estimated: its words by white space or a quarter of its bytes, whichever is more, and the marks. A script
+without spaces counts by its bytes.
 
 A turn is written as a start mark, role, line break, text and end mark. A backslash before `\\` and `|` keeps texts from
 holding a mark, and `\\n` stands for a line break in a role; `unescaped` undoes both.
@@ -26,8 +29,8 @@ from harvest.llm.common import WORD, with_running
 BUDGET = 2048
 HISTORY = 256
 START, END = "<|im_start|>", "<|im_end|>"
-#: Tokens of the marks of a turn.
-OVERHEAD = 4
+#: Tokens of the marks of a turn, and bytes of a token.
+OVERHEAD, BYTES = 4, 4
 #: Turn numbers that one task sums.
 SPAN = 256
 
@@ -49,7 +52,9 @@ def unescaped_role(role: Column) -> Column:
 
 
 def turn_tokens(role: Column, text: Column) -> Column:
-    return F.regexp_count(F.concat(role, F.lit(" "), text), F.lit(WORD)).cast("long") + OVERHEAD
+    both = F.concat(role, F.lit(" "), text)
+    words, bytes_ = F.regexp_count(both, F.lit(WORD)), F.ceil(F.octet_length(both) / BYTES)
+    return F.greatest(words.cast("long"), bytes_.cast("long")) + OVERHEAD
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -63,22 +68,23 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     heads = laid.where(is_system).select(F.col("conv_id").alias("__conv"), F.col("n").alias("head"))
     same = F.col("conv_id").eqNullSafe(F.col("__conv"))
     laid = laid.join(heads, same, "left").withColumn("head", F.coalesce("head", F.lit(0))).drop("__conv")
-    stride = F.greatest(F.lit(budget - history) - F.col("head"), F.lit(budget // 4))
+    stride = F.greatest(F.lit(budget - history) - F.col("head"), F.lit(1))
     body = laid.where(~is_system).withColumn("stride", stride).withColumn("at", F.col("at") - F.col("head"))
     block = F.floor(F.col("at") / F.col("stride"))
     crosses = F.col("at") + F.col("n") > (block + 1) * F.col("stride")
     body = body.withColumn("window", 2 * block + crosses.cast("long"))
-    opened = body.groupBy("conv_id", "window").agg(F.min("at").alias("open"))
+    room = F.lit(budget) - F.max("head") - F.sum("n")
+    opened = body.groupBy("conv_id", "window").agg(F.min("at").alias("open"), F.least(room, F.lit(history)).alias("room"))
     alone = heads.join(opened.select("conv_id").distinct(), same, "left_anti")
-    opened = opened.union(alone.select("__conv", F.lit(0).cast("long"), F.lit(0).cast("long")))
-    opened = opened.select(F.col("conv_id").alias("__conv"), F.col("window").alias("__window"), "open")
+    opened = opened.union(alone.select("__conv", F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long")))
+    opened = opened.select(F.col("conv_id").alias("__conv"), F.col("window").alias("__window"), "open", "room")
 
     given = body.select("conv_id", "window", "index", "role", "text", F.lit(False).alias("repeated"))
     # A turn is history of the windows that open within `history` tokens after it: they lie in a few strides.
     first, last = F.floor((F.col("at") + F.col("n")) / F.col("stride")), F.floor((F.col("at") + history) / F.col("stride"))
     near = body.where(F.col("n") <= history).select("conv_id", "index", "role", "text", "at", "n", F.explode(F.sequence(2 * first, 2 * last + 1)).alias("window"))
     near = near.join(opened, same & (F.col("window") == F.col("__window")))
-    near = near.where((F.col("open") >= F.col("at") + F.col("n")) & (F.col("open") - history <= F.col("at")))
+    near = near.where((F.col("open") >= F.col("at") + F.col("n")) & (F.col("open") - F.col("room") <= F.col("at")))
     again = near.select("conv_id", "window", "index", "role", "text", F.lit(True).alias("repeated"))
     system = laid.where(is_system).join(opened, same).select("conv_id", F.col("__window").alias("window"), "index", "role", "text", (F.col("open") > 0).alias("repeated"))
 
@@ -143,18 +149,18 @@ def with_sample(conversations: DataFrame) -> DataFrame:
 SQL = rf"""
 WITH c AS (SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
       UNION ALL VALUES (-1::BIGINT, 0::BIGINT, 'user', '{SAMPLE}'), (-1::BIGINT, 1::BIGINT, 'assistant', '{SAMPLE}')),
-t AS (SELECT *, len(regexp_extract_all(role || ' ' || text, '{WORD}')) + {OVERHEAD} AS n,
+t AS (SELECT *, greatest(len(regexp_extract_all(role || ' ' || text, '{WORD}')), (strlen(role || ' ' || text) + {BYTES - 1}) // {BYTES}) + {OVERHEAD} AS n,
       length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + {len(START) + len(END) + 2} AS chars FROM c),
 o AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i FROM t),
 h AS (SELECT conv_id, n AS head, chars AS head_chars FROM o WHERE i = 0 AND role = 'system'),
-b AS (SELECT o.*, coalesce(head, 0) AS head, greatest({BUDGET - HISTORY} - coalesce(head, 0), {BUDGET // 4}) AS s, pos - coalesce(head, 0) AS a
+b AS (SELECT o.*, coalesce(head, 0) AS head, greatest({BUDGET - HISTORY} - coalesce(head, 0), 1) AS s, pos - coalesce(head, 0) AS a
       FROM o LEFT JOIN h ON o.conv_id IS NOT DISTINCT FROM h.conv_id WHERE NOT (i = 0 AND role = 'system')),
 v AS (SELECT *, 2 * (a // s) + (a + n > (a // s + 1) * s)::INT AS w FROM b),
-p AS (SELECT conv_id, w, min(a) AS open FROM v GROUP BY ALL),
+p AS (SELECT conv_id, w, min(a) AS open, least({HISTORY}, {BUDGET} - max(head) - sum(n)) AS room FROM v GROUP BY conv_id, w),
 f AS (SELECT conv_id, sum(chars) AS chars FROM (
       SELECT conv_id, chars FROM v
-      UNION ALL SELECT v.conv_id, v.chars FROM v JOIN p ON v.conv_id IS NOT DISTINCT FROM p.conv_id WHERE v.n <= {HISTORY} AND p.open >= v.a + v.n AND p.open - {HISTORY} <= v.a
+      UNION ALL SELECT v.conv_id, v.chars FROM v JOIN p ON v.conv_id IS NOT DISTINCT FROM p.conv_id WHERE v.n <= {HISTORY} AND p.open >= v.a + v.n AND p.open - p.room <= v.a
       UNION ALL SELECT h.conv_id, head_chars FROM h LEFT JOIN p ON h.conv_id IS NOT DISTINCT FROM p.conv_id) GROUP BY conv_id)
 SELECT o.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
        length(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_chars,
