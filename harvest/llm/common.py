@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import count, islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,12 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_names(df: DataFrame, number: int) -> list[str]:
+    """So many column names that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return list(islice((n for k in count() if (n := f"__{k}") not in taken), number))
+
+
 def uniform(*keys: Column) -> Column:
     """A number in (0, 1) that depends on the keys alone."""
     return (F.shiftrightunsigned(F.xxhash64(*keys), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
@@ -29,11 +36,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, max_rows: int, inner_folds: int) -> DataFrame:
-    """(text, label, fold) of about `max_rows` labelled documents at most, none of them held out.
+    """(text, label, fold) of about `max_rows` labelled documents at most (a tenth more by chance), none of them held out.
 
     The rows are chosen by a hash of their id, so a rerun takes the same. Labels other than 0 and 1 are ignored; of
     several labels of a document the largest counts. The chosen labels are a bounded set, so they are broadcast and the
-    texts are not shuffled.
+    texts are not shuffled. Where ids repeat and the chosen ids have more rows than that, rows are chosen once more, by a hash of id
+    and text, and equal rows enter once.
     """
     usable = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     share = max_rows / max(1, usable.count())
@@ -42,6 +50,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, max_rows: i
     texts = docs.select(F.col("doc_id").alias("__doc"), F.coalesce("text", F.lit("")).alias("text"))
     fold = F.pmod(F.xxhash64(F.col("__id"), F.lit("fold")), F.lit(inner_folds)).cast("int")
     joined = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))
+    rows = joined.select("__doc").count()
+    if rows > 1.1 * max_rows:
+        joined = joined.where(uniform(F.col("__doc"), F.col("text"), F.lit("row")) < max_rows / rows).dropDuplicates(["__doc", "text"])
     return joined.select("text", "label", fold.alias("fold"))
 
 

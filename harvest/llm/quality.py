@@ -42,7 +42,7 @@ class Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= MOST_WORDS:
             self.clear()
-        shape = re.sub(r"[^\W\d_]+", lambda m: "X" if m[0].isupper() and len(m[0]) > 1 else "x" if m[0].islower() else "Xx", word[:64])
+        shape = re.sub(r"[^\W\d_]+", lambda m: "X" if m[0].isupper() and len(m[0]) > 1 else "x" if m[0].islower() else "Xx", word)
         shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d+", "d", shape))
         self[word] = code = zlib.crc32(word.lower().encode()) << 32 | zlib.crc32(shape.encode())
         return code

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -44,14 +46,38 @@ LEET = str.maketrans("013457@$!|", "oieastasil", "*.-_")
 WORDS = re.compile(r"\w+")
 MIXED = re.compile(r"[^\W\d_]+[0-9@$!|*._-]+[^\W\d_][\w@$!|*-]*")
 SPACED = re.compile(r"\b(?:[^\W\d_][ .]){3,}[^\W\d_]\b")
-UPPER = bytes(b for b in range(256) if chr(b).isupper())
-MARKS = b"!?.,;:\"'()-"
-SYMBOLS = b"#*$%&|<>@^~_+="
+MARKS = "!?.,;:\"'()-"
+SYMBOLS = "#*$%&|<>@^~_+="
+#: Kinds of characters, and the code points that have one; later ones have none.
+OTHER, UPPER, MARK, SHOUT, SYMBOL = range(5)
+LAST = 0x20000
 NEAR = 5
 N_FEATURES = 16
 MOST_WORDS = 1_000_000
 
 
+@cache
+def kinds() -> np.ndarray:
+    """The kind of each code point. Beyond ASCII, marks are Unicode's punctuation and symbols its symbols."""
+
+    def kind(char: str) -> int:
+        if char.isupper():
+            return UPPER
+        if char in "!！¡":
+            return SHOUT
+        if char.isascii():
+            return MARK if char in MARKS else SYMBOL if char in SYMBOLS else OTHER
+        return {"P": MARK, "S": SYMBOL}.get(unicodedata.category(char)[0], OTHER)
+
+    return np.array([kind(chr(c)) for c in range(LAST)] + [OTHER], np.uint8)
+
+
+def kind_counts(text: str) -> np.ndarray:
+    """How many characters of a text are of each kind."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.bincount(kinds()[np.minimum(points, LAST)], minlength=5)
+
+
 class Weights(dict):
     """Lexicon weight of a lower-case word: -1 for a second person, 0 for words outside the lexicon."""
 
@@ -91,8 +117,7 @@ def features(text: str, weights: Weights) -> list[float]:
         left = hits - persons[np.maximum(after - 1, 0)]
         right = persons[np.minimum(after, persons.size - 1)] - hits
         near = int(((np.abs(left) <= NEAR) | (np.abs(right) <= NEAR)).sum())
-    latin = text.encode("latin-1", "ignore")
-    count = lambda drop: len(latin) - len(latin.translate(None, drop))
+    of = kind_counts(text).tolist()
     mixed = MIXED.findall(text)
     hidden = sum(weights[m.lower().translate(LEET)] > 0 for m in mixed)
     spaced = SPACED.findall(text)
@@ -108,10 +133,10 @@ def features(text: str, weights: Weights) -> list[float]:
         float(near),
         near / n,
         persons.size / n,
-        count(UPPER) / chars,
-        latin.count(b"!") / chars,
-        count(MARKS) / chars,
-        count(SYMBOLS) / chars,
+        of[UPPER] / chars,
+        of[SHOUT] / chars,
+        (of[MARK] + of[SHOUT]) / chars,
+        of[SYMBOL] / chars,
         (len(mixed) + len(spaced)) / n,
         float(hidden),
     ]
@@ -139,16 +164,16 @@ def learn_lexicons(train: DataFrame, toxic: int, clean: int) -> list[dict[str, f
 
     shape = "token string, fold int, label int, n long"
     often = train.where("label = 1").mapInPandas(counted(None), shape).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    candidates = frozenset(r["token"] for r in often.collect())
-    counts = train.mapInPandas(counted(candidates), shape).groupBy("token", "fold", "label").agg(F.sum("n").alias("n")).collect()
+    candidates = frozenset(often.select("token").toPandas()["token"])
+    counts = train.mapInPandas(counted(candidates), shape).groupBy("token", "fold", "label").agg(F.sum("n").alias("n")).toPandas()
     sizes = {(r["fold"], r["label"]): r["n"] for r in train.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
     lexicons = []
     for left_out in [*range(INNER_FOLDS), None]:
         n = [sum(v for (f, y), v in sizes.items() if y == label and f != left_out) for label in (0, 1)]
         seen: dict[str, list[int]] = {}
-        for r in counts:
-            if r["fold"] != left_out:
-                seen.setdefault(r["token"], [0, 0])[r["label"]] += r["n"]
+        for token, fold, label, count in counts.itertuples(index=False):
+            if fold != left_out:
+                seen.setdefault(token, [0, 0])[label] += count
         lexicon = {}
         for token, (b, a) in seen.items():
             odds = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
