@@ -10,6 +10,9 @@ lines that fail. Repeated rows are judged alike; an empty table gives an empty t
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +29,17 @@ SPACE = r"[\x20\x09-\x0D]+"
 SHORT = 8
 ENDS = r"[.!?…:;。！？][\"'”’»)\]]*$"
 MARKS = r"[.!?…:;。！？,]"
+SEPARATING = "|>»•·/"
 SEPARATORS = r"^[|>»•·/]+$"
+CAPITALS = r"[A-ZÀ-ÖØ-Þ]{2}"
 SHOUTED = r"^[^a-zß-öø-ÿ]*[A-ZÀ-ÖØ-Þ]{2}[^a-zß-öø-ÿ]*$"
 MENU = r"^(home|menu|next|previous|log ?in|log ?out|sign ?up|sign ?in|share|search|read more|click here|skip to|back to top|contact us|about us)($|[^a-z])"
 BOILERPLATE = (
     r"all rights reserved|privacy policy|terms of (use|service)|cookie policy|use cookies|enable javascript|javascript is (disabled|required)"
     r"|lorem ipsum|licensed under|released under|subscribe to our|newsletter|copyright (\(c\)|©|[0-9]{4})"
 )
+#: Each alternative of BOILERPLATE holds one of these.
+STEMS = ("all rights", "policy", "terms of", "use cookies", "javascript", "lorem", "licensed", "released", "subscribe", "newsletter", "copyright")
 
 
 def words_of(text: Column) -> Column:
@@ -62,27 +69,39 @@ def repeated_words(words: Column) -> Column:
         return F.when(F.size(hashes) == F.size(F.array_distinct(hashes)), F.lit(0)).otherwise(let(pairs, of_sorted))
 
     def of_words(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-        return F.when(F.size(w) < 3, F.lit(0)).otherwise(let(windows, of_hashes))
+        windows = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - 3), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1), F.get(h, i + 2)))
+        return F.when(F.size(w) < 3, F.lit(0)).otherwise(let(let(F.transform(w, lambda x: F.xxhash64(x)), windows), of_hashes))
 
     return let(words, of_words)
 
 
-def line_failure(line: Column) -> Column:
-    """The rule that a line with words fails, or null."""
+def traits(text: Column) -> Column:
+    """What a text holds at all. A line of a text that lacks a trait cannot fail the rule that needs it, and is not asked."""
+    any_stem = lambda low: reduce(or_, (low.contains(stem) for stem in STEMS))
+    return F.struct(
+        text.rlike(f"[{SYMBOLS}]").alias("symbols"),
+        text.rlike(f"[{SEPARATING}]").alias("separators"),
+        text.rlike(CAPITALS).alias("capitals"),
+        let(F.lower(text), any_stem).alias("boilerplate"),
+    )
+
+
+def line_failure(line: Column, has: Column) -> Column:
+    """The rule that a line with words fails, or null. `has` are the `traits` of its text."""
 
     def judged(w: Column) -> Column:
-        n, bare, low = F.size(w), F.btrim(line, F.lit(WHITE)), F.lower(line)
-        chars = F.length(F.translate(line, WHITE, ""))
-        symbols = chars - F.length(F.translate(line, WHITE + SYMBOLS, ""))
+        n, bare = F.size(w), F.btrim(line, F.lit(WHITE))
+        chars = lambda: F.length(F.translate(line, WHITE, ""))
+        symbols = lambda: chars() - F.length(F.translate(line, WHITE + SYMBOLS, ""))
         separators = F.size(F.filter(w, lambda x: x.rlike(SEPARATORS)))
         shouted = F.size(F.filter(w, lambda x: x.rlike(SHOUTED)))
-        unpunctuated = F.when(n < SHORT, ~bare.rlike(ENDS)).otherwise(~bare.rlike(MARKS))
+        unpunctuated = F.when(n < SHORT, ~bare.rlike(ENDS)).otherwise(~line.rlike(MARKS))
         return (
-            F.when(symbols * 10 > chars, "symbols")
-            .when(((separators >= 2) & (separators * 10 >= n)) | ((n <= SHORT) & F.btrim(low, F.lit(WHITE)).rlike(MENU)), "navigation")
-            .when(low.rlike(BOILERPLATE), "boilerplate")
-            .when((n >= SHORT) & (shouted * 10 > n * 6), "capitals")
+            F.when(has["symbols"] & (symbols() * 10 > chars()), "symbols")
+            .when(has["separators"] & (separators >= 2) & (separators * 10 >= n), "navigation")
+            .when((n <= SHORT) & F.lower(bare).rlike(MENU), "navigation")
+            .when(has["boilerplate"] & F.lower(line).rlike(BOILERPLATE), "boilerplate")
+            .when(has["capitals"] & (n >= SHORT) & (shouted * 10 > n * 6), "capitals")
             .when((n >= SHORT) & (F.size(F.array_distinct(w)) * 10 < n * 3), "repetition")
             .when(unpunctuated, "punctuation")
         )
@@ -97,22 +116,22 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     def figures(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words"))
 
-    def by_line(lines: Column) -> Column:
-        marked = F.transform(lines, lambda line: F.struct(line.alias("line"), line_failure(line).alias("failed")))
+    def by_line(lines: Column, has: Column) -> Column:
+        marked = F.transform(lines, lambda line: F.struct(line.alias("line"), line_failure(line, has).alias("failed")))
 
         def outcome(m: Column) -> Column:
             good = F.filter(m, lambda x: x["failed"].isNull())
-            left = F.aggregate(good, F.lit(0), lambda total, x: total + F.size(words_of(x["line"])))
             return F.struct(
                 (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-                left.cast("long").alias("words_left"),
+                F.aggregate(good, F.lit(0), lambda total, x: total + F.size(words_of(x["line"]))).cast("long").alias("words_left"),
                 F.array_distinct(F.array_compact(F.transform(m, lambda x: x["failed"]))).alias("removed"),
                 F.array_join(F.transform(good, lambda x: x["line"]), "\n").alias("clean_text"),
             )
 
         return let(marked, outcome)
 
-    measured = F.struct(let(words_of(whole), figures).alias("words"), let(lines_of(whole), by_line).alias("lines"))
+    per_line = let(traits(whole), lambda has: let(lines_of(whole), lambda lines: by_line(lines, has)))
+    measured = F.struct(let(words_of(whole), figures).alias("words"), per_line.alias("lines"))
     # The generator keeps Spark from computing the figures again for each column that is taken out of them.
     rows = docs.select(*(quoted(c) for c in docs.columns), whole.alias("__whole"), F.explode(F.array(measured)).alias("__m"))
     out = rows.select(
