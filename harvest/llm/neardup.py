@@ -26,9 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from harvest.llm.common import quoted
+from harvest.llm.common import free_names, quoted
 from harvest.llm.components import components
-from harvest.llm.similar import elected, key_of, verified
 from harvest.sources.scratch import written
 
 SHINGLE = 3
@@ -225,16 +224,28 @@ def groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.join(written(named_all, "simhash-named"), F.col("bits") == F.col("print")).select("doc_id", "bits", "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
-    """The rows of `docs` without near-duplicates: of each group one row stays, the one with the smallest doc_id, see `elected`.
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of `docs` (doc_id, text) for each group of linked fingerprints: the one with the smallest doc_id.
 
-    With `similarity` a fingerprint only makes a candidate: a row leaves for a text to which its own has that similarity of
-    five-word shingles. Texts of that similarity whose fingerprints differ in more bits stay; `similar.one_of_similar` finds them.
+    Rows without a doc_id come last; of equal doc_ids the smallest row by its other columns stays, so reruns keep the same row.
     """
-    by_text = groups(docs.select(key_of().alias("doc_id"), "text"), radius)
-    pairs = by_text.select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).where("u <> v").distinct()
-    if similarity is not None:
-        pairs = verified(pairs, docs, similarity)
-    pairs = written(pairs, "simhash-roots")
-    roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return elected(docs, roots)
+    bits, root, rank = free_names(docs, 3)
+    prints = written(with_fingerprint(docs, bits), "simhash-rows")
+    roots = components(links(written(prints.select(F.col(bits).alias("bits")).distinct(), "simhash-distinct"), radius))
+    rooted = prints.join(roots.select("node", F.col("root").alias(root)), F.col(bits) == F.col("node"), "left").withColumn(root, F.coalesce(root, bits))
+    return first_of_each(rooted.drop("node"), root, rank).select(*(quoted(c) for c in docs.columns))
+
+
+def first_of_each(rows: DataFrame, group: str, rank: str) -> DataFrame:
+    """The first row of each group by doc_id (null last) and a 128-bit hash of the row.
+
+    The first is found by partial aggregation over small columns, so that a group of a third of all rows meets in no task.
+    """
+    own = rows.columns
+    whole = F.struct(*(quoted(c) for c in own))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(F.lit(1), whole).alias("one"), F.xxhash64(F.lit(2), whole).alias("two"))
+    ranked = rows.withColumn(rank, order)
+    first = ranked.groupBy(F.col(group).alias("__of")).agg(F.min(rank).alias("__first"))
+    kept = ranked.join(first, (F.col(group) == F.col("__of")) & F.col(rank).eqNullSafe(F.col("__first")), "left_semi")
+    # Only rows that are equal in every column are left with equal ranks.
+    return kept.dropDuplicates([group, rank])

@@ -13,12 +13,11 @@ import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from compare import compare, connect
-from harvest.llm import chat, cleaning, merkle, mixing, neardup, packing, quality, queries, sharding, similar, tokens, toxicity
+from harvest.llm import chat, cleaning, merkle, mixing, neardup, packing, quality, queries, sharding, tokens, toxicity
 from harvest.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -134,69 +133,6 @@ def test_near_duplicates_equal_brute_force(docs, nothing):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({d for d, _, c in expected if d is not None and d == c} | {None})
 
 
-def jaccard(a, b):
-    a, b = (t.lower().split() if t else [] for t in (a, b))
-    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b))
-    return len(a & b) / len(a | b)
-
-
-def near_copies():
-    rng = random.Random(5)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
-    texts = []
-    for size in (8, 30, 60, 200):
-        for _ in range(3):
-            first = [word() for _ in range(size)]
-            for edits in [0, 1, 1, 1, 2, 3, 5]:
-                copy = [*first]
-                for _ in range(edits):
-                    copy[rng.randrange(size)] = word()
-                texts.append(" ".join(copy))
-    passage = " ".join(word() for _ in range(40))
-    texts += [f"{passage} {' '.join(word() for _ in range(n))}" for n in (1, 4, 12, 30, 30, 30)]
-    common = [word() for _ in range(120)]
-    for i in range(60):
-        copy = [*common]
-        copy[i] = word()
-        texts.append(" ".join(copy))
-    return texts + ["", " ", None, "two words", "Two  words", "two wordz"]
-
-
-def test_similar_texts_equal_brute_force(spark, nothing):
-    texts = near_copies()
-    ids = [None if i % 7 == 3 else i for i in range(len(texts))]
-    rows = [*zip(ids, texts, strict=True)] + [(None, texts[3]), (500, texts[0]), (0, texts[0]), (0, texts[70])]
-    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    parent = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if jaccard(rows[i][1], rows[j][1]) >= 0.8:
-                old, new = parent[i], parent[j]
-                parent = [new if p == old else p for p in parent]
-    groups = defaultdict(list)
-    for (doc, text), root in zip(rows, parent, strict=True):
-        groups[root].append((doc is None, doc, text))
-    assert max(map(len, groups.values())) >= 30 and len(groups) > 30
-    kept = [(r["doc_id"], r["text"]) for r in similar.one_of_similar(frame).collect()]
-    where = {text: root for (_, text), root in zip(rows, parent, strict=True)}
-    assert Counter(where[t] for _, t in kept) == Counter(groups.keys())
-    for doc, text in kept:
-        assert doc == min((d for _, d, _ in groups[where[text]] if d is not None), default=None)
-    left = corpus_pipeline.one_of_similar(spark, corpus_pipeline.one_of_each(spark, frame, SMALL), SMALL).collect()
-    assert not [1 for i in range(len(left)) for j in range(i) if jaccard(left[i]["text"], left[j]["text"]) >= 0.8]
-    assert {where[r["text"]] for r in left} == set(groups)
-    assert similar.one_of_similar(nothing).count() == 0
-
-
-def test_fingerprints_alone_remove_no_text_in_the_pipeline(spark, monkeypatch):
-    texts = near_copies()
-    frame = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
-    monkeypatch.setattr(neardup, "groups", lambda docs, radius: docs.select("doc_id", F.min("doc_id").over(Window.partitionBy()).alias("component_id")))
-    left = corpus_pipeline.one_of_each(spark, frame, SMALL).collect()
-    gone = set(texts) - {r["text"] for r in left}
-    assert all(any(jaccard(g, r["text"]) >= 0.8 for r in left) for g in gone) and len(left) > 30
-
-
 @pytest.mark.parametrize("radius", [0, 1, 2])
 def test_links_of_crowded_fingerprints(spark, radius):
     rng = random.Random(radius)
@@ -354,6 +290,23 @@ def test_chat_digests_and_windows(spark):
     assert chat.digests(chat.windows(frame.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("head", [0, 700, 1900, 3000])
+def test_windows_keep_the_budget(spark, head):
+    rng = random.Random(head)
+    rows = [(0, 0, "system", "s " * head)] if head else []
+    for i in range(1, 200):
+        text = rng.choice(["w " * rng.choice([3, 60, 250, 1995, 2100]), "长" * rng.choice([5, 300, 2000, 60000]), "é" * rng.randint(1, 900)])
+        rows.append((0, i, "user", text))
+    formatted = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    turns = chat.turns_of(formatted).withColumn("n", chat.turn_tokens(F.col("role"), F.col("text")))
+    system = int(head > 0)
+    per = turns.groupBy("window").agg(F.sum("n").alias("n"), F.count("*").alias("turns"), F.sum(F.col("repeated").cast("int")).alias("again")).collect()
+    assert all(r["n"] <= chat.BUDGET or r["turns"] == 1 + system for r in per)
+    if head < 1900:
+        assert sum(r["again"] - system > 0 for r in per) > 5
+    assert turns.where("not repeated").count() == len(rows)
+
+
 def test_rules_and_trees_equal_sql(spark, docs, nothing):
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
