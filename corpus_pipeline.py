@@ -1,8 +1,12 @@
-"""A corpus from raw documents to packed sequences: toxic and poor documents go, one of each near-duplicate group stays, the
-sources are mixed to their target weights, and the result is packed. Each stage is written and read again.
-
-Texts are near-duplicates at a similarity of 0.8 of their five-word shingles. Close fingerprints make the first candidates, which
-shrinks large groups; the next stage finds all that are left, by an exact search.
+"""A corpus from raw documents to packed sequences, in five stages: toxic documents go, poor documents go, one document of each group
+of linked fingerprints stays, the sources are mixed to their target weights, and the result is packed. Each stage is written and
+read again.
+
+A null or empty text is scored like a text without words by both classifiers; those that stay link with each other, and one of them
+remains. Rows without a doc_id take part in all stages. Of linked documents the one with the smallest doc_id stays, rows without one
+last; of equal doc_ids the row with the smallest hash, so reruns keep the same rows. Repeated rows are equal texts and one of
+them stays; the mixing stage may copy it again. Empty tables pass all stages and give no pieces. Columns of any name beside doc_id, text
+and source pass through all stages but the last, which ignores them.
 """
 
 from __future__ import annotations
@@ -10,13 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvest.llm import mixing, neardup, packing, quality, similar, toxicity
-from harvest.llm.common import quoted
+from harvest.llm import mixing, neardup, packing, quality, toxicity
+from harvest.llm.common import free_names, quoted
 from harvest.sources.scratch import written
 
 #: None: learned scores, XXH64 and merges of a vocabulary are beyond SQL.
 ORACLE_SQL = None
-SCORE = "__llm_score"
 
 
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,21 +31,19 @@ def _kept(scored: DataFrame, docs: DataFrame, keep) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.fit(docs, _labels(spark, sf_dir)).scored(docs, SCORE)
-    return _kept(scored, docs, ~toxicity.is_toxic(F.col(SCORE)))
+    (score,) = free_names(docs, 1)
+    scored = toxicity.fit(docs, _labels(spark, sf_dir)).scored(docs, score)
+    return _kept(scored, docs, ~toxicity.is_toxic(F.col(score)))
 
 
 def good_only(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.fit(docs, _labels(spark, sf_dir)).scored(docs, SCORE)
-    return _kept(scored, docs, quality.is_good(F.col(SCORE)))
+    (score,) = free_names(docs, 1)
+    scored = quality.fit(docs, _labels(spark, sf_dir)).scored(docs, score)
+    return _kept(scored, docs, quality.is_good(F.col(score)))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.one_of_each(docs, similarity=similar.SIMILARITY)
-
-
-def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar.one_of_similar(docs)
+    return neardup.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +58,6 @@ STAGES = [
     ("toxicity", without_toxic),
     ("quality classifier", good_only),
     ("near-duplicates", one_of_each),
-    ("similar texts", one_of_similar),
     ("mixing", mixed),
     ("packing", packed),
 ]
