@@ -33,7 +33,7 @@ CALIBRATION = 3
 #: Hashed n-grams; the last place of the weights is the bias.
 DIMENSIONS = 1 << 18
 BLOCKS = 8
-MOST_WORDS = 1_000_000
+MOST_WORDS = 200_000
 
 
 class Words(dict):

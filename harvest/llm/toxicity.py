@@ -53,7 +53,7 @@ OTHER, UPPER, MARK, SHOUT, SYMBOL = range(5)
 LAST = 0x20000
 NEAR = 5
 N_FEATURES = 16
-MOST_WORDS = 1_000_000
+MOST_WORDS = 200_000
 
 
 @cache
