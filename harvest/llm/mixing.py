@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from harvest.llm.common import WORD, parts_for, quoted, uniform, with_running
+from harvest.llm.common import WORD, free_names, parts_for, quoted, uniform, with_running
 from harvest.sources.scratch import written
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -35,10 +35,10 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with __nth, the place of a row among the rows of its doc_id. It depends on the row alone, so a rerun copies the same texts."""
-    window = Window.partitionBy("doc_id").orderBy("source", "__size", F.xxhash64("text"))
-    return docs.withColumn("__size", words(F.col("text"))).withColumn("__nth", F.row_number().over(window))
+def numbered(docs: DataFrame, size: str = "__size", nth: str = "__nth") -> DataFrame:
+    """`docs` with its words, and the place of a row among the rows of its doc_id. It depends on the row alone, so a rerun copies the same texts."""
+    window = Window.partitionBy("doc_id").orderBy("source", size, F.xxhash64("text"))
+    return docs.withColumn(size, words(F.col("text"))).withColumn(nth, F.row_number().over(window))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -139,7 +139,7 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MO
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with the columns of `docs`."""
-    plan = copies(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias("__doc"), F.col("__nth").alias("__row"), "copies")
-    plan = plan.withColumnRenamed("copies", "__copies")
-    joined = numbered(docs).join(plan, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__nth") == F.col("__row")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*(quoted(c) for c in docs.columns))
+    size, nth, of, row, times, copy = free_names(docs, 6)
+    plan = copies(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias(of), F.col("__nth").alias(row), F.col("copies").alias(times))
+    joined = numbered(docs, size, nth).join(plan, F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(nth) == F.col(row)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(quoted(c) for c in docs.columns))
