@@ -85,13 +85,16 @@ def replay_two_runs(t: Tables) -> DataFrame:
 
 OUTCOMES_SQL = f"""
     WITH {s.PAGES_SQL}, {s.CHAIN_SQL.format(clean=s.CLEAN_SQL)},
+    counted AS MATERIALIZED (
+      SELECT job, query_idx, page_idx, ok, attempt AS last, coalesce(count(*) FILTER (ok AND has_next) OVER (
+               PARTITION BY job, query_idx ORDER BY page_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = page_idx AS gapless
+      FROM last_try
+    ),
     led AS (
-      SELECT l.job, l.query_idx, l.page_idx, l.attempt, l.status, c.ok, c.attempt AS last,
-             (SELECT count(*) FROM last_try b WHERE b.job = l.job AND b.query_idx = l.query_idx AND b.page_idx < l.page_idx
-              AND b.ok AND b.has_next) = l.page_idx AS gapless
-      FROM landed l JOIN last_try c USING (job, query_idx, page_idx)
+      SELECT l.job, l.query_idx, l.page_idx, l.attempt, l.status, c.ok, c.last, c.gapless
+      FROM landed l JOIN counted c USING (job, query_idx, page_idx)
     ),
-    page_outcomes AS (
+    page_outcomes AS MATERIALIZED (
       SELECT job, query_idx, page_idx, attempt, status,
              CASE WHEN page_idx >= 10 THEN 'outside_window' WHEN attempt <> last THEN 'retried' WHEN NOT gapless THEN 'not_reached'
                   WHEN ok THEN 'reached' WHEN status IN ('ok', 'ok_with_errors') THEN 'bad_nodes' ELSE status END AS outcome
@@ -107,7 +110,7 @@ def page_outcomes(t: Tables) -> DataFrame:
 @check(
     f"""
     {OUTCOMES_SQL},
-    landed_nodes AS (
+    landed_nodes AS MATERIALIZED (
       SELECT n.job, n.query_idx, n.page_idx, n.attempt, n.pos, n.id, p.outcome AS page
       FROM nodes n JOIN page_outcomes p USING (job, query_idx, page_idx, attempt)
       JOIN landed l USING (job, query_idx, page_idx, attempt)

@@ -50,7 +50,7 @@ def fold_overwrite(t: Tables) -> DataFrame:
     return upsert.fold_batch(s.order_batch(t.orders), "seq", "overwrite")
 
 
-_KEEP_FIRST_SQL = f"""{_FOLD_SQL}
+KEEP_FIRST_SQL = f"""{_FOLD_SQL}
     SELECT coalesce(t.id, f.id) AS id,
            CASE WHEN t.id IS NOT NULL THEN t.name ELSE f.name END AS name,
            CASE WHEN t.id IS NOT NULL THEN t.owner ELSE f.owner END AS owner,
@@ -63,13 +63,12 @@ _KEEP_FIRST_SQL = f"""{_FOLD_SQL}
     """
 
 
-@check(_KEEP_FIRST_SQL)
+@check(KEEP_FIRST_SQL)
 def upsert_keep_first(t: Tables) -> DataFrame:
     return upsert.upsert_repo(s.customer_repo(t.customer), s.order_batch(t.orders), "keep_first")
 
 
-@check(
-    f"""{_FOLD_SQL}
+OVERWRITE_SQL = f"""{_FOLD_SQL}
     SELECT coalesce(t.id, l.id) AS id,
            CASE WHEN l.id IS NOT NULL THEN l.name ELSE t.name END AS name,
            CASE WHEN l.id IS NOT NULL THEN l.owner ELSE t.owner END AS owner,
@@ -79,7 +78,9 @@ def upsert_keep_first(t: Tables) -> DataFrame:
            CASE WHEN l.id IS NOT NULL THEN l.owner || '/' || l.name ELSE t.name_with_owner END AS name_with_owner
     FROM target t FULL JOIN last l ON t.id = l.id LEFT JOIN labels p ON p.id = l.id
     """
-)
+
+
+@check(OVERWRITE_SQL)
 def upsert_overwrite(t: Tables) -> DataFrame:
     return upsert.upsert_repo(s.customer_repo(t.customer), s.order_batch(t.orders), "overwrite")
 
@@ -293,7 +294,7 @@ def _list_sql(values: list, cast: str = "") -> str:
     return "[" + ", ".join("NULL" if x is None else "'" + str(x).replace("'", "''") + "'" for x in values) + "]" + cast
 
 
-def _matrix_sql(scheme: str, jobs: str) -> str:
+def matrix_sql(scheme: str, jobs: str) -> str:
     """Matrix rows of the jobs in a one-column query, written out strategy by strategy."""
     plan = matrix.scheme_of(scheme)
     parts = []
@@ -323,19 +324,19 @@ _CUSTOMER_JOBS = "SELECT c_custkey AS job FROM customer"
 _MATRIX_COLUMNS = ["job", "query_idx", "query_string", "description", "expected_results", "strategy"]
 
 
-def _matrix(t: Tables, scheme: str) -> DataFrame:
+def customer_matrix(t: Tables, scheme: str) -> DataFrame:
     """A matrix with a job per customer."""
     return matrix.queries_for(t.customer.select(F.col("c_custkey").alias("job")), scheme)
 
 
-@check(f"WITH {_matrix_sql('fine', _CUSTOMER_JOBS)} SELECT * FROM matrix")
+@check(f"WITH {matrix_sql('fine', _CUSTOMER_JOBS)} SELECT * FROM matrix")
 def matrix_queries(t: Tables) -> DataFrame:
-    return _matrix(t, "fine").select(*_MATRIX_COLUMNS)
+    return customer_matrix(t, "fine").select(*_MATRIX_COLUMNS)
 
 
-@check(f"WITH {_matrix_sql('coarse', _CUSTOMER_JOBS)} SELECT * FROM matrix")
+@check(f"WITH {matrix_sql('coarse', _CUSTOMER_JOBS)} SELECT * FROM matrix")
 def matrix_queries_coarse(t: Tables) -> DataFrame:
-    return _matrix(t, "coarse").select(*_MATRIX_COLUMNS)
+    return customer_matrix(t, "coarse").select(*_MATRIX_COLUMNS)
 
 
 _BOUNDS_SQL = r"""
@@ -356,29 +357,29 @@ _BOUNDS_SQL = r"""
 """
 
 
-@check(f"WITH {_matrix_sql('fine', _CUSTOMER_JOBS)} {_BOUNDS_SQL}")
+@check(f"WITH {matrix_sql('fine', _CUSTOMER_JOBS)} {_BOUNDS_SQL}")
 def matrix_bounds(t: Tables) -> DataFrame:
-    return _matrix(t, "fine").drop("query_string", "description", "expected_results", "strategy")
+    return customer_matrix(t, "fine").drop("query_string", "description", "expected_results", "strategy")
 
 
-@check(f"WITH {_matrix_sql('coarse', _CUSTOMER_JOBS)} {_BOUNDS_SQL}")
+@check(f"WITH {matrix_sql('coarse', _CUSTOMER_JOBS)} {_BOUNDS_SQL}")
 def matrix_bounds_coarse(t: Tables) -> DataFrame:
-    return _matrix(t, "coarse").drop("query_string", "description", "expected_results", "strategy")
+    return customer_matrix(t, "coarse").drop("query_string", "description", "expected_results", "strategy")
 
 
 @check(
     f"""
-    WITH {_matrix_sql('fine', _CUSTOMER_JOBS)}
+    WITH {matrix_sql('fine', _CUSTOMER_JOBS)}
     SELECT query_string, count(*) AS jobs, min(job) AS first_job FROM matrix WHERE query_idx = 0 GROUP BY 1
     """
 )
 def matrix_report(t: Tables) -> DataFrame:
-    return measure.matrix_report(_matrix(t, "fine"))
+    return measure.matrix_report(customer_matrix(t, "fine"))
 
 
 @check(
     rf"""
-    WITH {_matrix_sql('coarse', _CUSTOMER_JOBS)}, terms AS (
+    WITH {matrix_sql('coarse', _CUSTOMER_JOBS)}, terms AS (
       SELECT 'language' AS term, regexp_extract(query_string, '(?:^|\s)language:(\S+)', 1) AS value FROM matrix
       UNION ALL SELECT 'stars', regexp_extract(query_string, '(?:^|\s)stars:(\S+)', 1) FROM matrix
     )
@@ -386,7 +387,7 @@ def matrix_report(t: Tables) -> DataFrame:
     """
 )
 def query_terms(t: Tables) -> DataFrame:
-    return measure.query_terms(_matrix(t, "coarse"))
+    return measure.query_terms(customer_matrix(t, "coarse"))
 
 
 # The parts speak the first six languages of the list, so that language partitions have members.
@@ -420,30 +421,30 @@ def _coded(t: Tables) -> DataFrame:
     return s.repo(t.part).withColumn("lang", lang)
 
 
-@check(f"WITH {_matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL} SELECT * FROM covered")
+@check(f"WITH {matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL} SELECT * FROM covered")
 def star_band_coverage(t: Tables) -> DataFrame:
-    return coverage.coverage(_coded(t), _matrix(t, "fine"), _COVER)
+    return coverage.coverage(_coded(t), customer_matrix(t, "fine"), _COVER)
 
 
 @check(
     f"""
-    WITH {_matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL}
+    WITH {matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL}
     SELECT query_string, count(id) AS repos
     FROM (SELECT DISTINCT query_string FROM matrix WHERE query_idx = 0) LEFT JOIN covered USING (query_string) GROUP BY 1
     """
 )
 def coverage_per_query(t: Tables) -> DataFrame:
-    return coverage.coverage_counts(_coded(t), _matrix(t, "fine"), _COVER)
+    return coverage.coverage_counts(_coded(t), customer_matrix(t, "fine"), _COVER)
 
 
 @check(
     f"""
-    WITH {_matrix_sql('coarse', _CUSTOMER_JOBS)}, {_COVERED_SQL}
+    WITH {matrix_sql('coarse', _CUSTOMER_JOBS)}, {_COVERED_SQL}
     SELECT id FROM repo WHERE id NOT IN (SELECT id FROM covered)
     """
 )
 def uncovered_repos(t: Tables) -> DataFrame:
-    return coverage.uncovered(_coded(t), _matrix(t, "coarse"), _COVER, "coarse")
+    return coverage.uncovered(_coded(t), customer_matrix(t, "coarse"), _COVER, "coarse")
 
 
 @check(
@@ -474,7 +475,7 @@ _SORTED_COVER = {
 def _sorted_sql(strategies: str) -> str:
     """Rows under the queries of some strategies, with the flags that these exclude."""
     return f"""
-    WITH {_matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL},
+    WITH {matrix_sql('fine', _CUSTOMER_JOBS)}, {_COVERED_SQL},
     stated AS ({_BOUNDS_SQL.replace('SELECT job,', 'SELECT strategy, query_string, job,', 1)}),
     wanted AS (
       SELECT DISTINCT query_string, language, topic, license, coalesce(star_lo, 0) AS s0, coalesce(star_hi, 9000000000) AS s1,
@@ -512,18 +513,18 @@ def _kinds(t: Tables) -> DataFrame:
 @check(_sorted_sql("'topic', 'language'"))
 def coverage_by_topic(t: Tables) -> DataFrame:
     cover = {name: column for name, column in _SORTED_COVER.items() if name not in ("size", "license")}
-    return coverage.coverage(_kinds(t), _matrix(t, "fine"), cover)
+    return coverage.coverage(_kinds(t), customer_matrix(t, "fine"), cover)
 
 
 @check(_sorted_sql("'topic', 'language', 'size', 'license'"))
 def coverage_by_license_and_size(t: Tables) -> DataFrame:
-    return coverage.coverage(_kinds(t), _matrix(t, "fine"), _SORTED_COVER)
+    return coverage.coverage(_kinds(t), customer_matrix(t, "fine"), _SORTED_COVER)
 
 
 # Outputs: written under the shared folder and read back
 
 
-@check(_KEEP_FIRST_SQL)
+@check(KEEP_FIRST_SQL)
 def stored_repo(t: Tables) -> DataFrame:
     """The customer table published, then the order batch stored on top."""
     root = new_path(t.spark, "repo")

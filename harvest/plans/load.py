@@ -13,11 +13,12 @@ from harvest.operators.history import latest_stats
 from harvest.operators.measure import crawl_metrics, load_report
 from harvest.operators.pages import MAX_PAGES
 from harvest.operators.records import marked, repo_reason, table_reason
-from harvest.plans.replay import node_outcomes, page_outcomes
+from harvest.plans.replay import page_outcomes, taken_nodes
 from harvest.schemas import page_key, run_key
+from harvest.sources.buckets import store_buckets
 from harvest.sources.exports import export_csv, write_bad
 from harvest.sources.scratch import drop_folder, new_path, staged
-from harvest.sources.tables import drop_versions, read_repo, read_stats, store_repo, store_stats
+from harvest.sources.tables import drop_versions, read_repo, read_stats, store_repo, store_stats, versions
 
 
 class Roots(NamedTuple):
@@ -71,15 +72,19 @@ def load_records(
     """Store the records of one or more jobs and runs; `date` is the fetch day of records that bring none.
 
     The checked records are staged once; both tables, the rejected rows, the report and the metrics read the staged
-    copy. The newest two versions of the repo table stay. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
+    copy. A new repo table is kept in buckets, of which a load rewrites those that it touches; one that is kept in versions stays so, and
+    its newest two versions stay. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
     """
     path, checked = new_path(records.sparkSession, "records"), checked_records(records, date)
     checked.write.parquet(path)
     rows = records.sparkSession.read.schema(checked.schema).parquet(path)
     good = rows.filter(F.col("reason").isNull())
     order = write_order(rows)
-    store_repo(good, roots.repo, policy, order)
-    drop_versions(records.sparkSession, roots.repo)
+    if versions(records.sparkSession, roots.repo):
+        store_repo(good, roots.repo, policy, order)
+        drop_versions(records.sparkSession, roots.repo)
+    else:
+        store_buckets(good, roots.repo, policy, order)
     stats = good.select(F.col("id").alias("repo_id"), F.col("stars").cast("int").alias("stars"), *order)
     store_stats(stats, roots.stats, order, None if "fetched_date" in records.columns else [date])
     write_bad(rows.filter(F.col("reason").isNotNull()), roots.bad, label)
@@ -102,9 +107,7 @@ def harvest_pages(
     rows, pages with the raw answer. The pages are parsed once, into a staged copy that goes when the load is over.
     """
     with staged(page_outcomes(pages, on_bad, max_pages), "pages") as outcomes:
-        nodes = node_outcomes(outcomes, target)
-        broken = F.col("reason").isNotNull() & F.col("page").isin("reached", "bad_nodes")
-        taken = nodes.filter((F.col("outcome") == "stored") | broken).drop("page", "outcome")
+        taken = taken_nodes(outcomes, target)
         unread = outcomes.filter(~F.col("outcome").isin("reached", "retried")).withColumn("reason", F.concat(F.lit("page_"), "outcome"))
         unread = unread.drop("records", "status", "outcome")
         return load_records(taken.unionByName(unread, allowMissingColumns=True), roots, date, policy, label, target)

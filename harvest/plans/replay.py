@@ -118,15 +118,27 @@ def page_outcomes(pages: DataFrame, on_bad: str = "page", max_pages: int = MAX_P
     return told.unionByName(lost)
 
 
+def _landed_nodes(outcomes: DataFrame) -> DataFrame:
+    keep = [*page_key(outcomes), *_day(outcomes), "attempt", F.col("outcome").alias("page")]
+    names = [*page_key(outcomes), *_day(outcomes), "attempt", "page"]
+    return outcomes.select(*keep, F.posexplode("records").alias("pos", "r")).select(*names, "pos", "r.*")
+
+
+def taken_nodes(outcomes: DataFrame, target: int = 4000, salts: int | None = 1) -> DataFrame:
+    """The nodes of `page_outcomes` that a run stores, and those of read pages that break a rule, with the reason. No join."""
+    nodes = _landed_nodes(outcomes)
+    kept = _collected(nodes.filter((F.col("page") == "reached") & F.col("reason").isNull()), target, salts)[1]
+    broken = nodes.filter(F.col("reason").isNotNull() & F.col("page").isin("reached", "bad_nodes"))
+    return kept.unionByName(broken).drop("page")
+
+
 def node_outcomes(outcomes: DataFrame, target: int = 4000, salts: int | None = 1) -> DataFrame:
     """Every landed node of `page_outcomes` with its `outcome`, and the `reason` of a node that breaks a rule.
 
     stored; repeated: its job met the id before; over_target: its job was full; the reason, if the node breaks a rule; else
     page_ and the outcome of its page. The pages are read several times: write them first if they are costly.
     """
-    keep = [*page_key(outcomes), *_day(outcomes), "attempt", F.col("outcome").alias("page")]
-    names = [*page_key(outcomes), *_day(outcomes), "attempt", "page"]
-    nodes = outcomes.select(*keep, F.posexplode("records").alias("pos", "r")).select(*names, "pos", "r.*")
+    nodes = _landed_nodes(outcomes)
     read = F.col("page") == "reached"
     firsts, kept = _collected(nodes.filter(read & F.col("reason").isNull()), target, salts)
     place = [*page_key(nodes), "pos"]

@@ -1,8 +1,9 @@
 """Repo and stats tables on plain Parquet.
 
-The repo table is a folder of complete versions: an upsert writes a new version beside the one it reads, and the version
-counts from the moment its _SUCCESS file exists, so readers never see half a table. The stats table is partitioned by day
-and only the days a batch touches are rewritten.
+A repo table may be a folder of complete versions: an upsert writes a new version beside the one it reads, and the version
+counts from the moment its _SUCCESS file exists, so readers never see half a table. That moves the whole table for any batch; `buckets`
+keeps it in hash buckets instead, and loads do so for new tables. The stats table is partitioned by day and only the days a batch
+touches are rewritten.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from harvest.operators.upsert import upsert_repo, upsert_stats
 from harvest.schemas import REPO, STATS, conform
+from harvest.sources.buckets import delete_buckets, read_bucketed_repo
 from harvest.sources.scratch import drop_folder, folder_of, staged
 
 _VERSION = "version-"
@@ -47,13 +49,13 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def read_repo(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of the repo table, empty if there is none.
+    """The repo table in buckets, or the newest version of one in versions, empty if there is none.
 
     Versions written before a column was added read it as NULL.
     """
     done = versions(spark, root)
     if not done:
-        return empty(spark, REPO)
+        return read_bucketed_repo(spark, root)
     return conform(spark.read.parquet(version_path(root, done[-1])), REPO)
 
 
@@ -128,12 +130,8 @@ def delete_stored(ids: DataFrame, repo_root: str, stats_root: str) -> None:
             # The overwrite leaves a day alone that has no rows any more.
             for day in set(dates) - set(touched_dates(kept)):
                 drop_folder(spark, f"{stats_root}/fetched_date={day}")
-    publish_repo(read_repo(spark, repo_root).join(gone, "id", "left_anti"), repo_root)
+    if versions(spark, repo_root):
+        publish_repo(read_repo(spark, repo_root).join(gone, "id", "left_anti"), repo_root)
+    else:
+        delete_buckets(gone, repo_root)
 
-
-def save_bucketed(df: DataFrame, table: str, buckets: int, key: str = "id") -> None:
-    """Save as a bucketed catalog table. An upsert into spark.table(table) then moves only the batch, not the table.
-
-    Take at least as many buckets as the session has shuffle partitions, else Spark moves the table after all.
-    """
-    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

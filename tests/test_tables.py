@@ -24,7 +24,6 @@ from harvest.sources.tables import (
     publish_repo,
     read_repo,
     read_stats,
-    save_bucketed,
     store_repo,
     store_stats,
     version_path,
@@ -148,13 +147,6 @@ def test_stats_days(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(fetched_date" in plan
 
 
-def test_bucketed_table_is_not_shuffled(spark):
-    save_bucketed(repo_frame(spark, TARGET), "bucketed_repo", 8)
-    plan = upsert.upsert_repo(spark.table("bucketed_repo"), batch_frame(spark, WRITES))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1, plan
-    assert content(upsert.upsert_repo(spark.table("bucketed_repo"), batch_frame(spark, WRITES)))[1][0] == "old"
-
-
 def test_parents_and_cascade(spark):
     repo = repo_frame(spark, [(1, "a", "x", None), (2, "b", "x", None)])
     stats = stats_frame(spark, [(1, DAY, 1), (2, DAY, 2), (3, DAY, 3)]).drop("seq")
@@ -243,13 +235,16 @@ def test_load(spark, tmp_path):
         assert spark.read.parquet(roots.bad).count() == 1
 
 
-def test_loads_leave_nothing_in_the_shared_folder(spark, tmp_path):
+@pytest.mark.parametrize("kept", ["versions", "buckets"])
+def test_loads_leave_nothing_in_the_shared_folder(spark, tmp_path, kept):
     roots = Roots(*(str(tmp_path / name) for name in ("repo", "stats", "bad")))
     shared = Path(scratch_dir(spark))
 
     def folders():
         return {f.name for f in shared.iterdir()} if shared.exists() else set()
 
+    if kept == "versions":
+        publish_repo(empty(spark, REPO), roots.repo)
     before = folders()
     for stars in range(4):
         loaded = load_records(spark.createDataFrame([(0, 0, 0, 0, 1, "a", "x", "u", stars, None)], RECORDS), roots, DAY, label="run")
@@ -259,7 +254,8 @@ def test_loads_leave_nothing_in_the_shared_folder(spark, tmp_path):
         assert folders() == before
     delete_stored(spark.createDataFrame([(1,)], "id long"), roots.repo, roots.stats)
     assert folders() == before
-    assert len(versions(spark, roots.repo)) == 3 and read_stats(spark, roots.stats).count() == 0
+    assert len(versions(spark, roots.repo)) == (3 if kept == "versions" else 0)
+    assert read_repo(spark, roots.repo).count() == 0 and read_stats(spark, roots.stats).count() == 0
 
 
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
@@ -280,9 +276,9 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     land("0", [1, 2])
     land("2", [9], status=502)
     assert run() == [(1, "matrix_0"), (2, "matrix_0")]
-    before = versions(spark, roots.repo)
+    before = {p: p.stat().st_mtime_ns for p in Path(roots.repo).rglob("*")}
     assert run() == [(1, "matrix_0"), (2, "matrix_0")]
-    assert versions(spark, roots.repo) == before
+    assert {p: p.stat().st_mtime_ns for p in Path(roots.repo).rglob("*")} == before
     land("1", [2, 3])
     assert run() == [(1, "matrix_0"), (2, "matrix_1"), (3, "matrix_1")]
     assert sorted((r.repo_id, r.stars) for r in read_stats(spark, roots.stats).collect()) == [(1, 10), (2, 20), (3, 30)]
