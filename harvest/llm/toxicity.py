@@ -164,23 +164,21 @@ def learn_lexicons(train: DataFrame, toxic: int, clean: int) -> list[dict[str, f
 
     shape = "token string, fold int, label int, n long"
     often = train.where("label = 1").mapInPandas(counted(None), shape).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    candidates = frozenset(often.select("token").toPandas()["token"])
-    counts = train.mapInPandas(counted(candidates), shape).groupBy("token", "fold", "label").agg(F.sum("n").alias("n")).toPandas()
+    candidates = frozenset(often.select("token").toArrow()["token"].to_pylist())
+    cells = [(fold, label) for fold in range(INNER_FOLDS) for label in (0, 1)]
+    each = [F.sum(F.when((F.col("fold") == fold) & (F.col("label") == label), F.col("n")).otherwise(0)).alias(f"n{fold}{label}") for fold, label in cells]
+    # One row for each token reaches the driver, in columns.
+    counts = train.mapInPandas(counted(candidates), shape).groupBy("token").agg(*each).toArrow()
+    del candidates
     sizes = {(r["fold"], r["label"]): r["n"] for r in train.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
     lexicons = []
     for left_out in [*range(INNER_FOLDS), None]:
         n = [sum(v for (f, y), v in sizes.items() if y == label and f != left_out) for label in (0, 1)]
-        seen: dict[str, list[int]] = {}
-        for token, fold, label, count in counts.itertuples(index=False):
-            if fold != left_out:
-                seen.setdefault(token, [0, 0])[label] += count
-        lexicon = {}
-        for token, (b, a) in seen.items():
-            odds = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
-            error = math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if a >= min(3, least) and odds - 1.64 * error > 1:
-                lexicon[token] = round(odds, 4)
-        lexicons.append(lexicon)
+        b, a = (sum(counts[f"n{f}{label}"].to_numpy() for f in range(INNER_FOLDS) if f != left_out) for label in (0, 1))
+        odds = np.log((a + 0.5) / (n[1] + 1)) - np.log((b + 0.5) / (n[0] + 1))
+        error = np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        chosen = np.flatnonzero((a >= min(3, least)) & (odds - 1.64 * error > 1))
+        lexicons.append(dict(zip(counts["token"].take(chosen).to_pylist(), odds[chosen].round(4).tolist(), strict=True)))
     return lexicons
 
 
