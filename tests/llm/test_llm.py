@@ -6,6 +6,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -235,6 +236,48 @@ def test_round_robin_counts_equal_a_walk():
             assert abs(given[j] - quanta[j] * (at + 1) / 40) < 3
 
 
+@pytest.mark.parametrize("weights", [[], [3], [5, 2, 1], [1, 1, 0.5, 8, 1]])
+def test_rounds_equal_a_walk(weights):
+    """Phase by phase: each queue with a weight gives its share of what the phase has given, until one of them is dry."""
+    quanta = [50, 7, 31, 0, 12]
+    rounds = packing.Rounds.of(quanta, [Fraction(w) for w in weights])
+    order = sorted((int(rounds.turn(k, np.array([q]))[0]), k) for k, n in enumerate(quanta) for q in range(n))
+    assert [at for at, _ in order] == list(range(sum(quanta))) and rounds.quanta == quanta and rounds.all == sum(quanta)
+    given = Counter()
+    for at in range(sum(quanta) + 1):
+        for j in range(len(quanta)):
+            own, ahead = rounds.given(j, np.array([at]))
+            assert (int(own[0]), int(ahead[0])) == (given[j], sum(given[i] for i in range(j)))
+        wet = [i for i in range(len(weights)) if given[i] < quanta[i]]
+        if at < sum(quanta):
+            if wet:
+                assert order[at][1] in wet
+                # Nobody is dry yet: the weights hold to within the depth of the tree.
+                if all(given[i] < quanta[i] for i in range(len(weights))):
+                    assert all(abs(given[i] - at * weights[i] / sum(weights)) <= 4 for i in range(len(weights)))
+            given[order[at][1]] += 1
+
+
+def test_sequences_hold_the_targets(spark):
+    """500 tokens of a, 2,000 of b, some of others: 3 to 1 while a lasts, then b, then the others; no token is lost."""
+    rows = [(i, "one two three four five six seven eight nine", "a" if i < 50 else "b" if i < 250 else None if i < 280 else "c") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    pieces = packing.pack(docs, length=64, quantum=8, targets={"a": 3, "b": 1.0, "none such": 7}).collect()
+    mix, ids = defaultdict(Counter), defaultdict(list)
+    for r in pieces:
+        mix[r["sequence_id"]][r["source"]] += len(r["ids"]) // 4
+        ids[r["doc_id"]].append((r["start"], r["ids"]))
+    whole = {r["doc_id"]: r["ids"] for r in packing.encoded(docs).collect()}
+    assert {d: b"".join(x for _, x in sorted(own)) for d, own in ids.items()} == whole
+    assert [sum(mix[i].values()) for i in range(len(mix) - 1)] == [64] * (len(mix) - 1)
+    lasts = 500 * 4 // 3 // 64 - 1
+    assert all(mix[i] == {"a": 48, "b": 16} for i in range(lasts)) and mix[lasts + 3] == {"b": 64}
+    alone = next(i for i in range(len(mix)) if None in mix[i])
+    assert all(set(mix[i]) <= {"a", "b"} for i in range(alone)) and mix[alone + 1] == {None: 40, "c": 24}
+    with pytest.raises(ValueError, match="negative"):
+        packing.pack(docs, targets={"a": -1})
+
+
 def reshared(sizes):
     weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     target, total = {}, sum(sizes.values())
