@@ -11,11 +11,13 @@ from checks.catalog import Tables, check
 from checks.page_checks import RUNS_SQL, TARGET, replay_sql, two_runs
 from harvest.operators import combine, coverage, history, measure, upsert
 from harvest.plans.load import Roots, export_latest, harvest_pages, load_records
+from harvest.plans.readmit import readmit
 from harvest.sources import matrix, matrix_values as v
 from harvest.sources.exports import export_csv, write_jobs
 from harvest.sources.scratch import new_path
 from harvest.sources.tables import delete_stored, publish_repo, read_repo, read_stats, store_repo, store_stats, version_path
 from harvest.streaming.ingest import ingest_stream
+from harvest.streaming.sightings import stream_sightings
 
 DAY = dt.date.fromisoformat(s.FETCHED)
 _EXPORT_SCHEMA = "id bigint, name string, name_with_owner string, url string, created_at string, stars int, crawled_at date"
@@ -608,29 +610,36 @@ def _new_roots(t: Tables) -> Roots:
     return Roots(f"{root}/repo", f"{root}/stats", f"{root}/bad")
 
 
-@check(
-    f"""
+_LOADED_SQL = f"""
     WITH {s.DEFECTS_SQL}, job_rows AS (
       SELECT *, CASE WHEN reason IS NULL OR reason = 'partition_too_long' THEN
                CASE WHEN stars > 2147483647 THEN 'stars_out_of_range' END ELSE reason END AS failed FROM marked
     )
     SELECT coalesce(failed, 'stored') AS outcome, id FROM job_rows
     """
-)
+
+
+@check(_LOADED_SQL)
 def loaded_records(t: Tables) -> DataFrame:
     """Records of many jobs loaded into empty tables: what the tables hold and what was rejected."""
     roots = _new_roots(t)
-    key = F.col("id")
-    rows = s.defects(t.part).drop("alphabet_partition").withColumns(
+    load_records(_job_records(t, 200), roots, DAY, label="check")
+    return _load_outcomes(t, roots)
+
+
+def _job_records(t: Tables, jobs: int) -> DataFrame:
+    return s.defects(t.part).drop("alphabet_partition").withColumns(
         {
-            "job": (key % 200).cast("int"),
+            "job": (F.col("id") * 37 % jobs).cast("int"),
             "query_idx": F.lit(0),
             "page_idx": F.lit(0),
             "pos": F.lit(0),
             "created_at": F.lit(None).cast("timestamp_ntz"),
         }
     )
-    load_records(rows, roots, DAY, label="check")
+
+
+def _load_outcomes(t: Tables, roots: Roots) -> DataFrame:
     stored = read_stats(t.spark, roots.stats).join(
         read_repo(t.spark, roots.repo).select(F.col("id").alias("repo_id")), "repo_id", "left_semi"
     )
@@ -640,6 +649,17 @@ def loaded_records(t: Tables) -> DataFrame:
     )
 
 
+@check(_LOADED_SQL)
+def readmitted(t: Tables) -> DataFrame:
+    """Two loads while labels had 10 characters at most; what they reject is taken again under the present width, twice."""
+    roots, rows = _new_roots(t), _job_records(t, 5000)
+    for odd in (0, 1):
+        load_records(rows.filter(F.col("id") % 2 == odd), roots, DAY, label=f"check {odd}", width=10)
+    for _ in range(2):
+        readmit(t.spark, roots, DAY)
+    return _load_outcomes(t, roots)
+
+
 @check(
     f"""
     WITH replayed AS ({replay_sql(s.CLEAN_SQL)}),
@@ -684,7 +704,16 @@ def two_runs_stored(t: Tables) -> DataFrame:
 )
 def stream_ingest(t: Tables) -> DataFrame:
     """Landed page files taken by the stream into empty tables."""
-    landing, checkpoint = new_path(t.spark, "landing"), new_path(t.spark, "stream")
+    landing, checkpoint = _landing(t), new_path(t.spark, "stream")
+    roots = _new_roots(t)
+    ingest_stream(t.spark, landing, roots, checkpoint, DAY, max_files=2).awaitTermination()
+    stats = read_stats(t.spark, roots.stats).select(F.col("repo_id").alias("id"), "stars")
+    return read_repo(t.spark, roots.repo).join(stats, "id").select("id", "owner", "alphabet_partition", "name_with_owner", "stars")
+
+
+def _landing(t: Tables) -> str:
+    """A folder of landed page files."""
+    landing = new_path(t.spark, "landing")
     landed = s.page_texts(t.events).select(
         F.to_json(F.struct("http_status", "job", "query_idx", "page_idx", "attempt")).alias("head"), "http_status", "response"
     )
@@ -693,7 +722,13 @@ def stream_ingest(t: Tables) -> DataFrame:
         F.concat(F.lit(',"text":'), F.to_json(F.struct("response")).substr(F.lit(13), F.lit(1 << 30)))
     )
     landed.select(F.concat(F.expr("substr(head, 1, length(head) - 1)"), tail)).write.text(landing)
-    roots = _new_roots(t)
-    ingest_stream(t.spark, landing, roots, checkpoint, DAY, max_files=2).awaitTermination()
-    stats = read_stats(t.spark, roots.stats).select(F.col("repo_id").alias("id"), "stars")
-    return read_repo(t.spark, roots.repo).join(stats, "id").select("id", "owner", "alphabet_partition", "name_with_owner", "stars")
+    return landing
+
+
+@check(f"WITH {s.PAGES_SQL} SELECT DISTINCT job, id FROM nodes WHERE status IN ('ok', 'ok_with_errors') AND id > 0")
+def stream_dedup(t: Tables) -> DataFrame:
+    """Ids of every job as the page files arrive, each told once; a second start of the stream adds nothing."""
+    landing, out, checkpoint = _landing(t), new_path(t.spark, "sightings"), new_path(t.spark, "stream")
+    for _ in range(2):
+        stream_sightings(t.spark, landing, out, checkpoint, max_files=3).awaitTermination()
+    return t.spark.read.parquet(out).select("job", "id")

@@ -34,6 +34,7 @@ from harvest.operators.upsert import (
 )
 from harvest.plans.continued import collected, replay_more
 from harvest.plans.load import Loaded, Roots, export_latest, harvest_pages, load_records
+from harvest.plans.readmit import read_bad, readmit
 from harvest.plans.replay import node_outcomes, page_outcomes, replay
 from harvest.settings import SETTINGS, configure
 from harvest.sources.buckets import by_ids, by_name, delete_buckets, publish_buckets, read_bucketed_repo, store_buckets
@@ -42,5 +43,6 @@ from harvest.sources.matrix import queries_for, query_matrix, single_job_queries
 from harvest.sources.pages import explode_nodes, parse_pages, read_pages
 from harvest.sources.tables import delete_stored, drop_versions, publish_repo, read_repo, read_stats, store_repo, store_stats
 from harvest.streaming.ingest import ingest_stream
+from harvest.streaming.sightings import late_rows, stream_sightings
 
 __all__ = [name for name in dir() if not name.startswith("_")]

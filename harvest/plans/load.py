@@ -14,7 +14,7 @@ from harvest.operators.measure import crawl_metrics, load_report
 from harvest.operators.pages import MAX_PAGES
 from harvest.operators.records import marked, repo_reason, table_reason
 from harvest.plans.replay import page_outcomes, taken_nodes
-from harvest.schemas import page_key, run_key
+from harvest.schemas import PARTITION_WIDTH, page_key, run_key
 from harvest.sources.buckets import store_buckets
 from harvest.sources.exports import export_csv, write_bad
 from harvest.sources.scratch import drop_folder, new_path, staged
@@ -49,7 +49,7 @@ def write_order(records: DataFrame) -> list[str]:
     return ["fetched_date", *page_key(records), *attempt, "pos"]
 
 
-def checked_records(records: DataFrame, date) -> DataFrame:
+def checked_records(records: DataFrame, date, width: int = PARTITION_WIDTH) -> DataFrame:
     """Records as they would be stored, each with the `reason` it is rejected for or NULL.
 
     A reason or a fetch day that they bring stays.
@@ -58,7 +58,19 @@ def checked_records(records: DataFrame, date) -> DataFrame:
     own = F.coalesce("fetched_date", day) if "fetched_date" in records.columns else day
     rows = with_fetched(with_partition(records), own)
     known = F.col("reason") if "reason" in records.columns else F.lit(None).cast("string")
-    return marked(rows, F.coalesce(known, repo_reason(), table_reason(rows)))
+    return marked(rows, F.coalesce(known, repo_reason(), table_reason(rows, width)))
+
+
+def store_good(good: DataFrame, roots: Roots, policy: str, order: list[str], days: list[dt.date] | None) -> None:
+    """Upsert checked records into both tables; `days` are their fetch days, None if they tell."""
+    spark = good.sparkSession
+    if versions(spark, roots.repo):
+        store_repo(good, roots.repo, policy, order)
+        drop_versions(spark, roots.repo)
+    else:
+        store_buckets(good, roots.repo, policy, order)
+    stats = good.select(F.col("id").alias("repo_id"), F.col("stars").cast("int").alias("stars"), *order)
+    store_stats(stats, roots.stats, order, days)
 
 
 def load_records(
@@ -68,25 +80,20 @@ def load_records(
     policy: str = "keep_first",
     label: str | None = None,
     target: int = 4000,
+    width: int = PARTITION_WIDTH,
 ) -> Loaded:
     """Store the records of one or more jobs and runs; `date` is the fetch day of records that bring none.
 
     The checked records are staged once; both tables, the rejected rows, the report and the metrics read the staged
     copy. A new repo table is kept in buckets, of which a load rewrites those that it touches; one that is kept in versions stays so, and
     its newest two versions stay. Loading the same records again changes neither table; give the same `label` to replace the rejected rows too.
+    `width` is that of the partition column; `readmit` takes rows again that a narrower one had no room for.
     """
-    path, checked = new_path(records.sparkSession, "records"), checked_records(records, date)
+    path, checked = new_path(records.sparkSession, "records"), checked_records(records, date, width)
     checked.write.parquet(path)
     rows = records.sparkSession.read.schema(checked.schema).parquet(path)
     good = rows.filter(F.col("reason").isNull())
-    order = write_order(rows)
-    if versions(records.sparkSession, roots.repo):
-        store_repo(good, roots.repo, policy, order)
-        drop_versions(records.sparkSession, roots.repo)
-    else:
-        store_buckets(good, roots.repo, policy, order)
-    stats = good.select(F.col("id").alias("repo_id"), F.col("stars").cast("int").alias("stars"), *order)
-    store_stats(stats, roots.stats, order, None if "fetched_date" in records.columns else [date])
+    store_good(good, roots, policy, write_order(rows), None if "fetched_date" in records.columns else [date])
     write_bad(rows.filter(F.col("reason").isNotNull()), roots.bad, label)
     return Loaded(load_report(rows), crawl_metrics(good, [*run_key(good), "job"], target=target), path)
 

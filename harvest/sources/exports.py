@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from harvest.schemas import EXPORT_COLUMNS
+from harvest.sources.scratch import drop_folder
+
+LOAD = "load"
+#: Characters that Spark writes as % and two digits in the folder names of a partition column.
+_ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
 
 
 def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -30,4 +36,19 @@ def write_jobs(df: DataFrame, path: str) -> None:
 
 def write_bad(bad: DataFrame, path: str, label: str | None = None) -> None:
     """Add rejected rows with their reason, in a folder of their own; a `label` used before replaces its rows."""
-    bad.write.mode("overwrite").parquet(f"{path}/load={label or uuid.uuid4().hex}")
+    bad.write.mode("overwrite").parquet(_folder(path, label or uuid.uuid4().hex))
+
+
+def _folder(path: str, label: str) -> str:
+    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED or c < " " else c for c in label)
+    return f"{path}/{LOAD}={name}"
+
+
+def replace_bad(bad: DataFrame, path: str, labels: Sequence[str]) -> None:
+    """Replace the rejected rows of the loads of these labels by `bad`, which must not read them; loads without a row go."""
+    rows = bad.hint("rebalance", F.col(LOAD))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOAD).parquet(path)
+    held = {r[0] for r in bad.select(LOAD).distinct().collect()}
+    for label in labels:
+        if label not in held:
+            drop_folder(bad.sparkSession, _folder(path, label))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,20 +17,25 @@ from harvest.sources.pages import explode_nodes
 from harvest.sources.scratch import drop_folder
 
 
+def usable_nodes(pages: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Records of all usable pages, one row per node with the `reason` it is rejected for; `more` names columns of the pages to keep."""
+    keys = [*page_key(pages), "fetched_date", "attempt", *more]
+    usable = page_status(pages).filter(F.col("status").isin(USABLE))
+    nodes = marked(explode_nodes(usable.select(*keys, "body")), node_reason())
+    return nodes.select(*keys, "pos", "reason", *record_fields(F.col("node")))
+
+
 def page_records(pages: DataFrame) -> DataFrame:
     """Records of all usable pages, one row per node with the `reason` it is rejected for, without chain or target cuts.
 
     A page that is not usable is one row with its status as the reason and its raw answer, a malformed line likewise.
     """
     status, keys = page_status(pages), [*page_key(pages), "fetched_date", "attempt"]
-    usable = status.filter(F.col("status").isin(USABLE))
-    nodes = marked(explode_nodes(usable.select(*keys, "body")), node_reason())
-    records = nodes.select(*keys, "pos", "reason", *record_fields(F.col("node")))
     why = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(F.col("status"))
     lost = status.filter(~F.col("status").isin(USABLE)).select(
         *keys, F.concat(F.lit("page_"), why).alias("reason"), F.coalesce(MALFORMED, "text").alias("raw")
     )
-    return records.unionByName(lost, allowMissingColumns=True)
+    return usable_nodes(pages).unionByName(lost, allowMissingColumns=True)
 
 
 class Ingest:
