@@ -415,7 +415,7 @@ def test_run_packs_whole_copies_of_good_texts(spark):
     # The labels, held-out ones too: toxic or poor texts are gone, others stay unless they are copies.
     toxic = [d for d, m in marks.items() if d in docs and m["toxic"] == 1]
     poor = [d for d, m in marks.items() if d in docs and m["quality"] == 0]
-    # Few toxic labels here to learn from: 7 of 51 toxic texts are not found.
+    # Few toxic labels here to learn from: 7 of 51 toxic texts stay to the end.
     assert toxic and sum(d in found for d in toxic) <= 0.2 * len(toxic)
     assert poor and sum(d in found for d in poor) <= 0.1 * len(poor)
     prints = {d: naive_print(r["text"]) for d, r in docs.items()}
