@@ -10,7 +10,8 @@ so the errors cancel and the words of a source miss the target by half of its lo
 then give or take one copy of the document that best closes the gap of its source.
 
 A null text has size 0; a null source is a source of its own, the last in order. Documents without words take nothing.
-Repeated rows are documents of their own, numbered within their doc_id. If no document has words, all targets are 0. An empty
+Repeated rows are documents of their own, numbered among the rows of the same doc_id, source and text: a doc_id, or no
+doc_id, that many texts share is spread by their hashes, rows equal in all three meet in one task. If no document has words, all targets are 0. An empty
 table gives an empty table; columns of any other name are left alone. One row for each source is ordered in one task.
 """
 
@@ -35,10 +36,14 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def numbered(docs: DataFrame, size: str = "__size", nth: str = "__nth") -> DataFrame:
-    """`docs` with its words, and the place of a row among the rows of its doc_id. It depends on the row alone, so a rerun copies the same texts."""
-    window = Window.partitionBy("doc_id").orderBy("source", size, F.xxhash64("text"))
-    return docs.withColumn(size, words(F.col("text"))).withColumn(nth, F.row_number().over(window))
+def numbered(docs: DataFrame, size: str = "__size", mark: str = "__mark", nth: str = "__nth") -> DataFrame:
+    """`docs` with its words, a hash of source and text, and the place of a row among those of its doc_id and hash.
+
+    All three depend on the row alone, so a rerun copies the same texts. Texts of one hash share a numbering, which loses none.
+    """
+    window = Window.partitionBy("doc_id", mark).orderBy("source", size)
+    sized = docs.withColumn(size, words(F.col("text"))).withColumn(mark, F.xxhash64("source", "text"))
+    return sized.withColumn(nth, F.row_number().over(window))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -98,8 +103,8 @@ def rates(sizes: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame
 
 
 def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """doc_id, __nth, source, size, source_size, target, rate and copies (0 to `most`) of every row of `docs` (doc_id, text, source)."""
-    rows = numbered(docs.select("doc_id", "text", "source")).select("doc_id", "__nth", "source", F.col("__size").alias("size"))
+    """doc_id, __mark, __nth, source, size, source_size, target, rate and copies (0 to `most`) of every row of `docs` (doc_id, text, source)."""
+    rows = numbered(docs.select("doc_id", "text", "source")).select("doc_id", "__mark", "__nth", "source", F.col("__size").alias("size"))
     rows = written(rows, "mixing-sizes")
     sizes = written(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mixing-counts")
     targets = written(source_targets(sizes.select("source", (F.col("size") * F.col("n")).alias("size"), "n"), weights, most), "mixing-targets")
@@ -109,19 +114,20 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MO
     begun = with_running(stretch, {"begun": F.col("__all")}, ["source"], "__part", [F.col("size").desc()])
     begun = begun.select(F.col("source").alias("__source"), F.col("size").alias("__size"), "rate", "begun")
     parts = parts_for(rows.count(), 4000)
-    at = uniform(F.col("doc_id"), F.col("__nth"))
-    ranked = with_running(rows.withColumn("__at", at).withColumn("__part", F.floor(at * parts)), {"rank": F.lit(1)}, ["source", "size"], "__part", [F.col("__at"), F.col("doc_id"), F.col("__nth")])
+    row = ["doc_id", "__mark", "__nth"]
+    at = uniform(*map(F.col, row))
+    ranked = with_running(rows.withColumn("__at", at).withColumn("__part", F.floor(at * parts)), {"rank": F.lit(1)}, ["source", "size"], "__part", [F.col("__at"), *map(F.col, row)])
     joined = ranked.join(begun, F.col("source").eqNullSafe(F.col("__source")) & (F.col("size") == F.col("__size")))
     upto = lambda k: F.floor(F.col("begun") + k * F.col("rate") + 0.5)
     whole = F.least(F.greatest(upto(F.col("rank") + 1) - upto(F.col("rank")), F.lit(0)), F.lit(most)).cast("int")
-    first = written(joined.select("doc_id", "__nth", "source", "size", "rate", whole.alias("copies")), "mixing-copies")
-    changes = first.limit(0).select(F.col("doc_id").alias("__doc"), F.col("__nth").alias("__row"), F.lit(0).alias("__change"))
+    first = written(joined.select(*row, "source", "size", "rate", whole.alias("copies")), "mixing-copies")
+    changes = first.limit(0).select(F.col("doc_id").alias("__doc"), F.col("__mark").alias("__of"), F.col("__nth").alias("__row"), F.lit(0).alias("__change"))
     goals = targets.select(F.col("source").alias("of"), "target")
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__nth") == F.col("__row"))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__mark") == F.col("__of")) & (F.col("__nth") == F.col("__row"))
 
     def now() -> DataFrame:
-        change = changes.groupBy("__doc", "__row").agg(F.sum("__change").cast("int").alias("__change"))
-        return first.join(change, same, "left").withColumn("copies", F.col("copies") + F.coalesce("__change", F.lit(0))).drop("__doc", "__row", "__change")
+        change = changes.groupBy("__doc", "__of", "__row").agg(F.sum("__change").cast("int").alias("__change"))
+        return first.join(change, same, "left").withColumn("copies", F.col("copies") + F.coalesce("__change", F.lit(0))).drop("__doc", "__of", "__row", "__change")
 
     for _ in range(CLOSING_ROUNDS):
         state = now()
@@ -131,15 +137,17 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MO
         closes = (F.col("size") > 0) & (F.col("size") < 2 * F.abs("gap")) & able
         near = F.abs(F.col("size") - F.abs("gap"))
         best = state.join(gaps, F.col("source").eqNullSafe(F.col("of"))).where(closes)
-        best = best.groupBy("of").agg(F.min(F.struct(near, uniform(F.col("doc_id"), F.col("__nth")), "doc_id", "__nth", F.signum("gap").cast("int").alias("sign"))).alias("b"))
-        changes = written(changes.union(best.select("b.doc_id", "b.__nth", "b.sign")), "mixing-changes")
+        best = best.groupBy("of").agg(F.min(F.struct(near, uniform(*map(F.col, row)), *row, F.signum("gap").cast("int").alias("sign"))).alias("b"))
+        changes = written(changes.union(best.select("b.doc_id", "b.__mark", "b.__nth", "b.sign")), "mixing-changes")
     out = now().join(targets.select(F.col("source").alias("__source"), "source_size", "target"), F.col("source").eqNullSafe(F.col("__source")))
     return out.drop("__source")
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with the columns of `docs`."""
-    size, nth, of, row, times, copy = free_names(docs, 6)
-    plan = copies(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias(of), F.col("__nth").alias(row), F.col("copies").alias(times))
-    joined = numbered(docs, size, nth).join(plan, F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(nth) == F.col(row)))
+    size, mark, nth, of, by, row, times, copy = free_names(docs, 8)
+    plan = copies(docs, weights, most).where("copies > 0")
+    plan = plan.select(F.col("doc_id").alias(of), F.col("__mark").alias(by), F.col("__nth").alias(row), F.col("copies").alias(times))
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(mark) == F.col(by)) & (F.col(nth) == F.col(row))
+    joined = numbered(docs, size, mark, nth).join(plan, same)
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(quoted(c) for c in docs.columns))

@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvest.llm.common import parts_for, with_running
+from harvest.sources.scratch import written
 
 SHARDS = 16
 RACKS, PER_RACK = 2, 4
+#: Equal rows that one row stands for while slots are counted.
+COPIES = 1000
 #: Regions of racks of (shard, weight).
 Tree = list[list[list[tuple[int, float]]]]
 
@@ -67,23 +70,22 @@ def shard_of(key: Column, tree: Tree) -> Column:
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot and grown_shard (with one shard more) of every row of `docs` (doc_id, text).
+    """doc_id, size, text_crc32, shard, grown_shard (with one shard more) and slot of every row of `docs` (doc_id, text).
 
-    Slots follow a hash of the doc_id and have no gaps. They are running counts of parts of a shard, so neither a
-    shard nor the texts meet in one task.
+    Equal rows are counted first, and a row for at most `COPIES` of them is placed and written out again. Slots follow a hash of these
+    rows and have no gaps. They are running counts of parts of a shard, so neither a shard nor an id meets in one task.
     """
     key = key_text(F.col("doc_id"))
     text = F.coalesce("text", F.lit(""))
-    place = F.md5(key)
-    rows = docs.select(
-        "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        shard_of(key, tree_of(shards)).alias("shard"),
-        shard_of(key, tree_of(shards + 1)).alias("grown_shard"),
-        place.alias("__place"),
-    )
-    parts = parts_for(docs.count(), 4000 * shards)
-    part = F.floor(F.conv(F.substring("__place", 1, 8), 16, 10).cast("long") * parts / float(1 << 32))
-    order = [F.col("__place"), F.col("doc_id"), F.col("size"), F.col("text_crc32")]
-    return with_running(rows.withColumn("__part", part), {"slot": F.lit(1)}, ["shard"], "__part", order).drop("__place", "__part")
+    rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("__n"))
+    placed = counted.withColumns({"shard": shard_of(key, tree_of(shards)), "grown_shard": shard_of(key, tree_of(shards + 1))})
+    placed = written(placed, "sharding")
+    parts = parts_for(placed.agg(F.sum("__n")).first()[0] or 0, 4000 * shards)
+    chunk = F.explode(F.expr(f"sequence(0, (__n - 1) div {COPIES})"))
+    here = F.least(F.lit(COPIES), F.col("__n") - F.col("__chunk") * COPIES)
+    order = ["doc_id", "size", "text_crc32", "__chunk"]
+    dealt = placed.withColumn("__chunk", chunk).withColumn("__n", here).withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(parts)))
+    begun = with_running(dealt, {"__begun": F.col("__n")}, ["shard"], "__part", [F.col(c) for c in order])
+    slot = F.explode(F.sequence(F.col("__begun"), F.col("__begun") + F.col("__n") - 1))
+    return begun.select(*rows.columns, "shard", "grown_shard", slot.alias("slot"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -83,6 +84,74 @@ def test_shards_keep_rows_and_grow_into_the_new_one(docs, nothing):
     assert sharding.sharded(nothing).count() == 0
 
 
+def descended(key, tree):
+    """The shard that a plain walk down the tree finds."""
+
+    def weight(node):
+        return node[1] if isinstance(node, tuple) else sum(map(weight, node))
+
+    node, place = tree, ""
+    while isinstance(node, list):
+        draws = []
+        for i, child in enumerate(node):
+            own = f"{place}/{child[0] if isinstance(child, tuple) else i}"
+            unit = (int(hashlib.md5(f"{key}:{own}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            draws.append((-math.log(unit) / weight(child), own, child))
+        _, place, node = min(draws, key=lambda d: d[:2])
+    return node[0]
+
+
+def test_shards_equal_a_plain_descent(spark):
+    rows = spark.range(1500).select((F.col("id") * 37 - 500).alias("doc_id"), F.lit("x").alias("text"))
+    got = sharding.sharded(rows.union(spark.sql("SELECT cast(null AS long), 'x'"))).collect()
+    assert len(got) == 1501
+    for r in got:
+        key = "null" if r["doc_id"] is None else str(r["doc_id"])
+        assert r["shard"] == descended(key, sharding.tree_of(16))
+        assert r["grown_shard"] == descended(key, sharding.tree_of(17))
+    uneven = [[[(0, 1.0), (1, 4.0)], [(2, 0.5)]], [[(3, 2.0)]]]
+    for r in spark.range(300).select("id", sharding.shard_of(F.col("id").cast("string"), uneven).alias("s")).collect():
+        assert r["s"] == descended(str(r["id"]), uneven)
+
+
+def hot_rows(spark):
+    """A third of all rows under one id, a third without an id, most texts several times; 2,500 rows are equal in all columns."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 2, F.col("id")).cast("long").alias("doc_id"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.col("id") % 23), lambda k: F.concat(F.lit("w"), F.col("id") % 400 + k))).alias("text"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit(None)), (F.col("id") % 7 % 3 + 1).cast("int")).alias("source"),
+    )
+    return rows.union(spark.range(2500).select(F.lit(7).cast("long"), F.lit("same text"), F.lit("a")))
+
+
+def test_hot_ids_keep_every_row(spark):
+    rows = hot_rows(spark)
+    plain = Counter((r["doc_id"], len(r["text"].encode()) + 1, zlib.crc32(r["text"].encode())) for r in rows.collect())
+    got = sharding.sharded(rows).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == plain and max(plain.values()) >= 2500
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_mix_of_hot_ids(spark):
+    rows = hot_rows(spark)
+    plan = mixing.copies(rows).collect()
+    assert len(plan) == rows.count() and len({(r["doc_id"], r["__mark"], r["__nth"]) for r in plan}) == len(plan)
+    sizes = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in rows.collect())
+    assert Counter((r["doc_id"], r["source"], r["size"]) for r in plan) == sizes
+    wanted = Counter()
+    for r in plan:
+        assert 0 <= r["copies"] <= 3
+        wanted[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    for source in ("a", "b", None):
+        of = [r for r in plan if r["source"] == source]
+        assert abs(sum(r["size"] * r["copies"] for r in of) - of[0]["target"]) <= max(r["size"] for r in of)
+    mixed = mixing.mixed(rows).collect()
+    assert Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in mixed) == +wanted
+
+
 def test_a_changed_weight_moves_keys_only_into_its_subtree(spark):
     before, after = sharding.tree_of(16), sharding.tree_of(16)
     after[1][0][2] = (after[1][0][2][0], 3.0)
