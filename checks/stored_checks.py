@@ -8,7 +8,7 @@ from checks import standins as s
 from checks.catalog import Tables, check
 from checks.page_checks import TARGET, replay_sql
 from checks.table_checks import KEEP_FIRST_SQL, OVERWRITE_SQL, customer_matrix, matrix_sql
-from harvest.operators import bands
+from harvest.operators import bands, overlaps
 from harvest.plans.continued import collected, replay_more
 from harvest.sources import buckets, matrix_values as v
 from harvest.sources.scratch import new_path
@@ -145,3 +145,35 @@ def replay_continued(t: Tables) -> DataFrame:
     for _ in range(2):
         replay_more(pages.filter(~early), root, TARGET)
     return collected(t.spark, root, first.schema).select("job", "query_idx", "page_idx", "pos", "id", "name", "owner", "url", "stars", "created_at")
+
+
+def _two_loads(t: Tables) -> DataFrame:
+    """The bitmaps of seven jobs, stored by two loads that both bring jobs 3 and 4; the first is loaded twice."""
+    rows, root = t.lineitem.select(F.col("l_linenumber").alias("job"), F.col("l_orderkey").alias("id")), new_path(t.spark, "words")
+    for label, jobs in (("a", F.col("job") <= 4), ("b", F.col("job") >= 3), ("a", F.col("job") <= 4)):
+        overlaps.store_words(rows.filter(jobs), root, label)
+    return overlaps.read_words(t.spark, root)
+
+
+@check(
+    """
+    WITH r AS (SELECT DISTINCT l_linenumber AS job, l_orderkey AS id FROM lineitem), n AS (SELECT job, count(*) AS ids FROM r GROUP BY 1)
+    SELECT CAST(a.job AS BIGINT) AS job, CAST(b.job AS BIGINT) AS other, count(*) AS shared, any_value(x.ids) AS job_ids, any_value(y.ids) AS other_ids
+    FROM r a JOIN r b ON a.id = b.id AND a.job < b.job JOIN n x ON x.job = a.job JOIN n y ON y.job = b.job GROUP BY 1, 2
+    """
+)
+def job_overlap_matrix(t: Tables) -> DataFrame:
+    """Ids that every two jobs share."""
+    return overlaps.job_overlaps(_two_loads(t))
+
+
+@check(
+    """
+    WITH r AS (SELECT DISTINCT l_linenumber AS job, l_orderkey AS id FROM lineitem)
+    SELECT count(*) AS total_rows, count(DISTINCT id) AS unique_rows, count(*) - count(DISTINCT id) AS duplicates_skipped,
+           round(1 - CAST(count(DISTINCT id) AS DOUBLE) / count(*), 6) AS overlap_rate FROM r
+    """
+)
+def dedup_report_kept(t: Tables) -> DataFrame:
+    """Totals of all jobs from the kept bitmaps."""
+    return overlaps.sightings_report(_two_loads(t)).withColumn("overlap_rate", F.round("overlap_rate", 6))

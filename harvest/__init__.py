@@ -8,6 +8,7 @@ from harvest.operators.combine import consolidate, distinct_values, exclusive, e
 from harvest.operators.coverage import coverage, coverage_counts, license_key, single_job_counts, uncovered
 from harvest.operators.history import latest_stats, star_growth
 from harvest.operators.measure import crawl_metrics, dedup_report, load_report, matrix_report, page_yield, query_terms
+from harvest.operators.overlaps import id_words, job_overlaps, read_words, sightings_report, store_words
 from harvest.operators.pages import last_attempt, page_flags, page_status, query_yield, valid_pages
 from harvest.operators.ranking import cap, first_seen, preview, ranked, result_window, top_n
 from harvest.operators.records import (

@@ -67,7 +67,11 @@ def load_report(marked: DataFrame) -> DataFrame:
 def dedup_report(df: DataFrame, key: str = "id") -> DataFrame:
     """Total rows, unique keys, duplicates skipped and the share of duplicates."""
     total, unique = F.count(F.lit(1)), F.count_distinct(F.col(key))
-    report = df.agg(total.alias("total_rows"), unique.alias("unique_rows"))
+    return skipped_and_rate(df.agg(total.alias("total_rows"), unique.alias("unique_rows")))
+
+
+def skipped_and_rate(report: DataFrame) -> DataFrame:
+    """Total and unique rows with the duplicates between them and their share."""
     skipped = F.col("total_rows") - F.col("unique_rows")
     rate = F.when(F.col("total_rows") == 0, F.lit(0.0)).otherwise(skipped / F.col("total_rows"))
     return report.select("total_rows", "unique_rows", skipped.alias("duplicates_skipped"), rate.alias("overlap_rate"))
