@@ -127,6 +127,30 @@ def test_free_bounds_equal_a_plain_walk(spark):
         bands.free_coverage(frame, matrix, {})
 
 
+def test_totals_of_free_bounds_need_no_pairs(spark):
+    rng = random.Random(3)
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    some = lambda x: rng.choice([None, x])
+    repos = [(rng.choice([i, i, 7, None]), some(rng.randrange(-5, 400)), rng.choice(["Go", "rust", None]), rng.choice([["a", "b", "a"], [], None]), some(day(rng.randrange(50))), some(rng.randrange(-4, 9))) for i in range(80)]
+    asked = []
+    for k in range(50):
+        lo, first = rng.randrange(-9, 430), rng.randrange(-9, 60)
+        asked.append((f"q{k % 40}", some(rng.choice(["go", "rust"])), some("a"), some(lo), some(lo + rng.randrange(-3, 80)), some(day(first)), some(day(first + rng.randrange(-2, 20))), some(rng.randrange(-6, 12))))
+    repos, asked = repos + repos[:40], asked + asked[:20]
+    frame = spark.createDataFrame(repos, "id long, stars long, lang string, topics array<string>, born date, size int")
+    matrix = spark.createDataFrame(asked, "query_string string, language string, topic string, star_lo long, star_hi long, created_lo date, created_hi date, size_hi long")
+    columns = {"stars": "stars", "language": "lang", "topic": "topics", "created": "born", "size": "size"}
+    plain = lambda rows: sorted((r["query_string"], r["repos"], r["ids"]) for r in rows.collect())
+    once, bare = frame.filter("id > 7").dropDuplicates(["id"]), frame.withColumn("born", F.lit(None).cast("date"))
+    for rows, queries in ((frame, matrix), (once, matrix.dropDuplicates(["query_string"])), (frame.limit(0), matrix), (bare, matrix.limit(20))):
+        pairs = bands.free_coverage(rows, queries, columns).groupBy("query_string").agg(F.count(F.lit(1)).alias("repos"), F.sum("id").alias("ids"))
+        assert plain(bands.free_coverage_totals(rows, queries, columns)) == plain(pairs)
+    # Nothing of a large matrix is broadcast: its blocks would pass through the driver.
+    wide = spark.range(40_000).select(F.concat(F.lit("w"), "id").alias("query_string"), (F.col("id") % 300).alias("star_lo"), F.lit(None).cast("bigint").alias("star_hi"))
+    for found in (bands.free_coverage(frame, wide, columns), bands.free_coverage_totals(frame.filter("id > 7"), wide, columns)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_special_queries_become_predicates(spark):
     for text, _ in [*v.SPECIALS, *v.COARSE_SPECIALS]:
         assert bands.spec_of(text)["stars"]
