@@ -20,6 +20,8 @@ from harvest.streaming.ingest import ingest_stream
 from harvest.streaming.sightings import stream_sightings
 
 DAY = dt.date.fromisoformat(s.FETCHED)
+#: Events whose pages make up a landed file of about 700 MB.
+EVENTS_IN_FILE = 500_000
 _EXPORT_SCHEMA = "id bigint, name string, name_with_owner string, url string, created_at string, stars int, crawled_at date"
 
 _FOLD_SQL = f"""
@@ -712,8 +714,8 @@ def stream_ingest(t: Tables) -> DataFrame:
 
 
 def _landing(t: Tables) -> str:
-    """A folder of landed page files."""
-    landing = new_path(t.spark, "landing")
+    """A folder of landed page files: at least 12 if there are as many partitions, and more only as the pages grow."""
+    landing, files = new_path(t.spark, "landing"), max(12, t.events.count() // EVENTS_IN_FILE)
     landed = s.page_texts(t.events).select(
         F.to_json(F.struct("http_status", "job", "query_idx", "page_idx", "attempt")).alias("head"), "http_status", "response"
     )
@@ -721,7 +723,7 @@ def _landing(t: Tables) -> str:
     tail = F.when(F.col("response").startswith("{"), F.concat(F.lit(',"body":'), "response", F.lit("}"))).otherwise(
         F.concat(F.lit(',"text":'), F.to_json(F.struct("response")).substr(F.lit(13), F.lit(1 << 30)))
     )
-    landed.select(F.concat(F.expr("substr(head, 1, length(head) - 1)"), tail)).write.text(landing)
+    landed.select(F.concat(F.expr("substr(head, 1, length(head) - 1)"), tail)).coalesce(files).write.text(landing)
     return landing
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import table_checks
+from checks.catalog import Tables
 from harvest.plans.load import Roots, load_records
 from harvest.plans.readmit import read_bad, readmit
 from harvest.sources.tables import read_repo, read_stats
@@ -104,3 +107,25 @@ def test_late_rows_and_ids_of_long_ago(spark, tmp_path):
     query.awaitTermination()
     assert sorted((r.id, r.arrived.day) for r in spark.read.parquet(out).collect()) == [(1, 1), (1, 11), (2, 1), (3, 10)]
     assert late_rows(query) == 1
+
+
+def test_state_of_the_stream_commits_changes_only(spark, tmp_path):
+    land(tmp_path / "landing", 0, "2024-01-01", [1, 9])
+    land(tmp_path / "landing", 1, "2024-01-01", [2, 9])
+    stream_sightings(spark, str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "cp"), max_files=1).awaitTermination()
+    assert told(spark, str(tmp_path / "out")) == [(0, 1), (0, 2), (0, 9)]
+    assert list(tmp_path.glob("cp/state/0/*/*.changelog"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", None) is None
+
+
+def test_landed_files_do_not_grow_with_the_partitions(spark):
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        pytest.skip("no generated tables here")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        landing = table_checks._landing(Tables(spark, folder))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(spark.read.text(landing).inputFiles()) <= 12
