@@ -13,7 +13,7 @@ from harvest.operators.pages import USABLE, page_status
 from harvest.operators.records import marked, node_reason, record_fields
 from harvest.plans.load import Roots, load_records
 from harvest.schemas import LANDED, MALFORMED, page_key
-from harvest.sources.pages import explode_nodes
+from harvest.sources.pages import explode_nodes, nodes_of, parsed_nodes
 from harvest.sources.scratch import drop_folder
 
 
@@ -30,12 +30,18 @@ def page_records(pages: DataFrame) -> DataFrame:
 
     A page that is not usable is one row with its status as the reason and its raw answer, a malformed line likewise.
     """
-    status, keys = page_status(pages), [*page_key(pages), "fetched_date", "attempt"]
+    keys, usable = [*page_key(pages), "fetched_date", "attempt"], F.col("status").isin(USABLE)
     why = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(F.col("status"))
-    lost = status.filter(~F.col("status").isin(USABLE)).select(
-        *keys, F.concat(F.lit("page_"), why).alias("reason"), F.coalesce(MALFORMED, "text").alias("raw")
-    )
-    return usable_nodes(pages).unionByName(lost, allowMissingColumns=True)
+    answer = F.when(~usable, F.struct(F.concat(F.lit("page_"), why).alias("reason"), F.coalesce(MALFORMED, "text").alias("raw")))
+    # A lost page is unpacked as one empty node, so that the lines are read and parsed once.
+    nodes = parsed_nodes(F.when(usable, nodes_of()).otherwise(F.array(F.lit(None).cast("string"))))
+    rows = page_status(pages).select(*keys, answer.alias("lost"), F.posexplode(nodes).alias("pos", "n"))
+    rows = rows.select(*keys, "lost", "pos", "n.raw", "n.node")
+    read = F.col("lost").isNull()
+    return rows.select(
+        *keys, F.when(read, F.col("pos")).alias("pos"), F.when(read, node_reason()).otherwise(F.col("lost.reason")).alias("reason"),
+        *record_fields(F.col("node")), F.col("lost.raw").alias("raw"),
+    )
 
 
 class Ingest:

@@ -14,7 +14,9 @@ from checks import table_checks
 from checks.catalog import Tables
 from harvest.plans.load import Roots, load_records
 from harvest.plans.readmit import read_bad, readmit
+from harvest.sources.pages import read_pages
 from harvest.sources.tables import read_repo, read_stats
+from harvest.streaming.ingest import page_records
 from harvest.streaming.sightings import late_rows, stream_sightings
 from test_pages import body, node
 from test_stored import files_of
@@ -118,6 +120,17 @@ def test_state_of_the_stream_commits_changes_only(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", None) is None
 
 
+def test_a_batch_is_read_once(spark, tmp_path):
+    land(tmp_path / "landing", 0, "2024-01-01", [1, 0])
+    land(tmp_path / "landing", 1, "2024-01-01", [8], status=502)
+    land(tmp_path / "landing", 2, "2024-01-01", [])
+    (tmp_path / "landing" / "3.json").write_text("no json")
+    rows = page_records(read_pages(spark, str(tmp_path / "landing")))
+    found = {(r.page_idx, r.pos, r.reason, r.id, r.raw) for r in rows.collect()}
+    assert found == {(0, 0, None, 1, None), (0, 1, "id_not_positive", 0, None), (1, None, "page_server_error", None, None), (None, None, "page_malformed", None, "no json")}
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+
+
 def test_landed_files_do_not_grow_with_the_partitions(spark):
     folder = "/root/testdata/sf0.001"
     if not Path(folder).exists():
