@@ -5,13 +5,16 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks.standins import page_texts
 from harvest.operators.measure import page_yield
 from harvest.operators.pages import last_attempt, page_flags, page_status, query_yield, valid_pages
 from harvest.operators.ranking import cap, first_seen, result_window
 from harvest.plans.load import Roots, harvest_pages
 from harvest.plans.replay import node_outcomes, page_outcomes, replay
-from harvest.sources.pages import parse_pages, read_pages
+from harvest.schemas import NODE
+from harvest.sources.pages import parse_pages, parsed_nodes, read_pages
 from harvest.sources.tables import read_stats
 
 
@@ -234,3 +237,41 @@ def test_runs_with_the_same_pages_stay_apart(spark, tmp_path):
 def test_replay_shuffles_three_times(spark):
     plan = replay(frame(spark, landed_pages(1)), 40)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+ODD_NODES = [
+    node(3) | {"databaseId": "x"}, node(4) | {"name": None}, node(5) | {"createdAt": "then"}, node(6) | {"createdAt": None},
+    node(7) | {"forkCount": "many"}, node(8) | {"owner": 5}, node(9) | {"url": 1.5}, {"name": "n"}, None, 5, [1], "", "text", node(10) | {"stargazerCount": -1},
+    # Texts that would be two nodes, or swallow the next one, if the texts of a page were simply strung together.
+    json.dumps(node(11)) + "," + json.dumps(node(12)), json.dumps(node(13))[:-1] + ', "y": [{}', "{}]}", json.dumps(node(14)) + " rest",
+    json.dumps(node(15)) + ', "harvest#node#2": ' + json.dumps(node(16)), json.dumps(node(17))[:-1] + ', "y": {"a": 1', '"b": 2}}', '{"databaseId": 1',
+]
+
+
+@pytest.mark.parametrize("odd", [[], *([n] for n in ODD_NODES), ODD_NODES[15:17], ODD_NODES[19:21], ODD_NODES])
+def test_nodes_parsed_together_equal_nodes_parsed_alone(spark, odd):
+    raws = [n if n is None or isinstance(n, str) else json.dumps(n) for n in (node(1), *odd, node(2) | {"name": 'q"\\,é'})]
+    rows = spark.createDataFrame([(0, raws), (1, []), (2, None)], "i int, nodes array<string>")
+    alone = F.transform("nodes", lambda raw: F.struct(raw.alias("raw"), F.from_json(raw, NODE).alias("node")))
+    got = rows.select("i", parsed_nodes(F.col("nodes")).alias("n"), alone.alias("want")).collect()
+    assert [r.n for r in got] == [r.want for r in got]
+
+
+def test_good_nodes_of_a_page_are_parsed_by_one_parser(spark):
+    """A page of good nodes is taken from the page's own parse: the parser of single nodes is not needed for it."""
+    rows = spark.createDataFrame([([json.dumps(node(i)) for i in range(1, 9)],)], "nodes array<string>")
+    plan = rows.select(parsed_nodes(F.col("nodes")).alias("n"))._jdf.queryExecution().analyzed().toString()
+    assert "MapType" in plan and plan.count("from_json") == 2
+
+
+def test_page_texts_equal_plain_json(spark):
+    """The texts of the landed pages hold their nodes as any JSON writer would print them, nulls and odd names included."""
+    events = spark.createDataFrame(
+        [(1, 'a"b\\\n/é', 3.5, '{"k":1}'), (2, None, None, '{"k":2}'), (391, "click", 45.0, "x"), (-50, "", float("nan"), "{}")],
+        "event_id long, event_type string, value double, props string",
+    )
+    texts = {r.page_idx: json.loads(r.response)["data"]["search"]["nodes"] for r in page_texts(events).collect()}
+    first = texts[1][0]
+    assert (first["databaseId"], first["name"], first["owner"], first["stargazerCount"]) == (2, "n2", {"login": 'a"b\\\n/é'}, 3)
+    assert first["url"] == "https://example.com/n2" and list(first) == ["databaseId", "name", "owner", "url", "createdAt", "stargazerCount"]
+    assert texts[2][1]["owner"] == {} and "stargazerCount" not in texts[2][1] and texts[2][1]["databaseId"] == 11
