@@ -12,6 +12,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -243,6 +244,19 @@ def test_special_tokens_keep_the_ids_of_the_library(spark):
     assert [sum((x for _, x in sorted(got[i])), []) for i in range(len(texts))] == [[*x, packing.END] for x in ids]
 
 
+def test_a_long_text_keeps_no_more_pieces_than_the_bound(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_PIECES", 50)
+    monkeypatch.setattr(tokens, "MOST_WORDS", 20)
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY))
+    encoder = tokens.Encoder(public_tokenizers.path(tokens.VOCABULARY))
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 90)))
+    for text in (" ".join(word("abcdeß") for _ in range(300)), " ".join(word("aтекс中") for _ in range(300)), "a\x00b \x7f \x9f ~!"):
+        for _ in range(2):
+            assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+            assert len(encoder.known) <= 50 and len(encoder.words) <= 20
+
+
 def test_length_histogram(docs, nothing):
     encoder = tokens.Encoder(public_tokenizers.path(tokens.VOCABULARY))
     lengths = sorted(len(encoder.ids(r["text"] or "")) // 4 for r in docs.collect())
@@ -472,6 +486,21 @@ def test_stages_keep_columns_and_follow_their_decisions(spark):
     assert pieces.agg(F.sum(F.octet_length("ids"))).first()[0] == 4 * tokens.with_length(docs).agg(F.sum(F.col("length") + 1)).first()[0]
 
 
+def test_stages_hand_few_long_texts_to_python_at_once(spark):
+    texts = spark.range(-24, 0, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 200_000).alias("text"), F.lit("s").alias("source"))
+    counted = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "mixing":
+            spark.conf.unset(corpus_pipeline.BATCH_BYTES)
+            stage(spark, texts.limit(0), SMALL)
+            n = [r["n"] for r in texts.mapInArrow(counted, "n long").collect()]
+            assert sum(n) == 24 and max(n) <= 8, name
+    spark.conf.set(corpus_pipeline.BATCH_BYTES, "1m")
+    corpus_pipeline.packed(spark, texts.limit(0), SMALL)
+    assert spark.conf.get(corpus_pipeline.BATCH_BYTES) == "1m"
+    spark.conf.unset(corpus_pipeline.BATCH_BYTES)
+
+
 def test_run_packs_whole_copies_of_good_texts(spark):
     """The pipeline from its start: the documents in its sequences against their labels, plain fingerprints and the library's ids."""
     folder = "/root/testdata/sf0.01"
