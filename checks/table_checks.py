@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,7 +15,7 @@ from harvest.plans.load import Roots, export_latest, harvest_pages, load_records
 from harvest.plans.readmit import readmit
 from harvest.sources import matrix, matrix_values as v
 from harvest.sources.exports import export_csv, write_jobs
-from harvest.sources.scratch import new_path
+from harvest.sources.scratch import drop_folder, new_path, shuffles_dropped
 from harvest.sources.tables import delete_stored, publish_repo, read_repo, read_stats, store_repo, store_stats, version_path
 from harvest.streaming.ingest import ingest_stream
 from harvest.streaming.sightings import stream_sightings
@@ -22,6 +23,8 @@ from harvest.streaming.sightings import stream_sightings
 DAY = dt.date.fromisoformat(s.FETCHED)
 #: Events whose pages make up a landed file of about 700 MB.
 EVENTS_IN_FILE = 500_000
+#: Landed files that a stream finds at a time where more pages land than fit into so many.
+FILES_AT_A_TIME = 12
 _EXPORT_SCHEMA = "id bigint, name string, name_with_owner string, url string, created_at string, stars int, crawled_at date"
 
 _FOLD_SQL = f"""
@@ -705,26 +708,63 @@ def two_runs_stored(t: Tables) -> DataFrame:
     """
 )
 def stream_ingest(t: Tables) -> DataFrame:
-    """Landed page files taken by the stream into empty tables."""
-    landing, checkpoint = _landing(t), new_path(t.spark, "stream")
-    roots = _new_roots(t)
-    ingest_stream(t.spark, landing, roots, checkpoint, DAY, max_files=2).awaitTermination()
+    """Landed page files taken by the stream into empty tables, stored once when all are taken."""
+    checkpoint, roots = new_path(t.spark, "stream"), _new_roots(t)
+    for landing in _landings(t):
+        ingest = ingest_stream(t.spark, landing, roots, checkpoint, DAY, max_files=2)
+        ingest.query.awaitTermination()
+    ingest.awaitTermination()
     stats = read_stats(t.spark, roots.stats).select(F.col("repo_id").alias("id"), "stars")
     return read_repo(t.spark, roots.repo).join(stats, "id").select("id", "owner", "alphabet_partition", "name_with_owner", "stars")
 
 
 def _landing(t: Tables) -> str:
     """A folder of landed page files: at least 12 if there are as many partitions, and more only as the pages grow."""
-    landing, files = new_path(t.spark, "landing"), max(12, t.events.count() // EVENTS_IN_FILE)
-    landed = s.page_texts(t.events).select(
+    landing = new_path(t.spark, "landing")
+    _land(t.events, landing, _landed_files(t))
+    return landing
+
+
+def _landings(t: Tables) -> Iterator[str]:
+    """The same files, a part of them at a time in one folder, so that the landed text takes no more disk as the pages grow.
+
+    A part goes when the next one is asked for.
+    """
+    landing, files = new_path(t.spark, "landing"), _landed_files(t)
+    parts = -(-files // FILES_AT_A_TIME)
+    for events in _dealt(t, parts):
+        _land(events, landing, -(-files // parts))
+        yield landing
+        drop_folder(t.spark, landing)
+
+
+def _dealt(t: Tables, parts: int) -> Iterator[DataFrame]:
+    """The events in parts of equal size, from a copy that is read part by part."""
+    if parts == 1:
+        yield t.events
+        return
+    path = new_path(t.spark, "events")
+    t.events.withColumn("part", F.monotonically_increasing_id() % parts).write.partitionBy("part").parquet(path)
+    for part in range(parts):
+        yield t.spark.read.parquet(path).filter(F.col("part") == part).drop("part")
+    drop_folder(t.spark, path)
+
+
+def _landed_files(t: Tables) -> int:
+    return max(12, t.events.count() // EVENTS_IN_FILE)
+
+
+def _land(events: DataFrame, landing: str, files: int) -> None:
+    landed = s.page_texts(events).select(
         F.to_json(F.struct("http_status", "job", "query_idx", "page_idx", "attempt")).alias("head"), "http_status", "response"
     )
     # A landed line is the head with the response as `body`, or as `text` where it is not a response document.
     tail = F.when(F.col("response").startswith("{"), F.concat(F.lit(',"body":'), "response", F.lit("}"))).otherwise(
         F.concat(F.lit(',"text":'), F.to_json(F.struct("response")).substr(F.lit(13), F.lit(1 << 30)))
     )
-    landed.select(F.concat(F.expr("substr(head, 1, length(head) - 1)"), tail)).coalesce(files).write.text(landing)
-    return landing
+    lines = landed.select(F.concat(F.expr("substr(head, 1, length(head) - 1)"), tail)).coalesce(files)
+    with shuffles_dropped(events.sparkSession):
+        lines.write.text(landing)
 
 
 @check(f"WITH {s.PAGES_SQL} SELECT DISTINCT job, id FROM nodes WHERE status IN ('ok', 'ok_with_errors') AND id > 0")

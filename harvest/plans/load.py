@@ -17,7 +17,7 @@ from harvest.plans.replay import page_outcomes, taken_nodes
 from harvest.schemas import PARTITION_WIDTH, page_key, run_key
 from harvest.sources.buckets import store_buckets
 from harvest.sources.exports import export_csv, write_bad
-from harvest.sources.scratch import drop_folder, new_path, staged
+from harvest.sources.scratch import drop_folder, new_path, shuffles_dropped, staged
 from harvest.sources.tables import drop_versions, read_repo, read_stats, store_repo, store_stats, versions
 
 
@@ -73,6 +73,16 @@ def store_good(good: DataFrame, roots: Roots, policy: str, order: list[str], day
     store_stats(stats, roots.stats, order, days)
 
 
+def store_checked(rows: DataFrame, roots: Roots, policy: str, label: str | None, days: list[dt.date] | None) -> None:
+    """Store checked records in both tables and among the rejected rows; `days` are their fetch days, None if they tell.
+
+    The rows are read several times, so they should lie in files. The shuffle files of each step go when it ends.
+    """
+    with shuffles_dropped(rows.sparkSession):
+        store_good(rows.filter(F.col("reason").isNull()), roots, policy, write_order(rows), days)
+        write_bad(rows.filter(F.col("reason").isNotNull()), roots.bad, label)
+
+
 def load_records(
     records: DataFrame,
     roots: Roots,
@@ -92,9 +102,8 @@ def load_records(
     path, checked = new_path(records.sparkSession, "records"), checked_records(records, date, width)
     checked.write.parquet(path)
     rows = records.sparkSession.read.schema(checked.schema).parquet(path)
+    store_checked(rows, roots, policy, label, None if "fetched_date" in records.columns else [date])
     good = rows.filter(F.col("reason").isNull())
-    store_good(good, roots, policy, write_order(rows), None if "fetched_date" in records.columns else [date])
-    write_bad(rows.filter(F.col("reason").isNotNull()), roots.bad, label)
     return Loaded(load_report(rows), crawl_metrics(good, [*run_key(good), "job"], target=target), path)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harvest.operators.pages import USABLE, page_status
 from harvest.operators.records import marked, node_reason, record_fields
-from harvest.plans.load import Roots, load_records
+from harvest.plans.load import Roots, checked_records, store_checked
 from harvest.schemas import LANDED, MALFORMED, page_key
 from harvest.sources.pages import explode_nodes, nodes_of, parsed_nodes
 from harvest.sources.scratch import drop_folder
@@ -70,21 +70,21 @@ def ingest_stream(
     Micro-batches only stage their checked rows, good and bad, each in a folder that a repetition overwrites. One upsert
     in write order stores all staged batches, so neither the tables nor the cost depend on how the files were cut into
     batches. After a restart only files not yet taken are read; batches that were staged but not stored are stored then.
-    Staged batches are deleted when they are stored. Old versions of the repo table are dropped, the newest two stay.
+    The upsert reads the staged batches themselves, so their rows lie on disk once, and they are deleted when they are
+    stored. Old versions of the repo table are dropped, the newest two stay.
     """
     stream = PurePosixPath(checkpoint).name
     staged, stored = f"{checkpoint}-staged", f"{checkpoint}-stored"
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        page_records(batch).write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
+        page_records(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{staged}/batch={batch_id}")
 
     def finish() -> None:
-        done = spark.read.parquet(stored)
-        waiting = spark.read.option("basePath", staged).parquet(staged).join(done, "batch", "left_anti")
-        batches = [r["batch"] for r in waiting.select("batch").distinct().collect()]
+        done, waiting = spark.read.parquet(stored), spark.read.option("basePath", staged).parquet(staged)
+        batches = [r["batch"] for r in waiting.select("batch").distinct().join(done, "batch", "left_anti").collect()]
         if batches:
             rows = waiting.where(F.col("batch").isin(batches))
-            load_records(rows.drop("batch"), roots, date, policy, label=f"{stream}-{min(batches)}").release()
+            store_checked(checked_records(rows.drop("batch"), date), roots, policy, f"{stream}-{min(batches)}", None)
             rows.select(F.col("batch").cast("int").alias("batch")).distinct().write.mode("append").parquet(stored)
             for batch in batches:
                 drop_folder(spark, f"{staged}/batch={batch}")

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from checks import table_checks
 from checks.catalog import Tables
+from harvest.plans import load
 from harvest.plans.load import Roots, load_records
 from harvest.plans.readmit import read_bad, readmit
 from harvest.sources.pages import read_pages
+from harvest.sources.scratch import CLEANUP, scratch_dir
 from harvest.sources.tables import read_repo, read_stats
-from harvest.streaming.ingest import page_records
+from harvest.streaming.ingest import ingest_stream, page_records
 from harvest.streaming.sightings import late_rows, stream_sightings
 from test_pages import body, node
 from test_stored import files_of
@@ -142,3 +144,51 @@ def test_landed_files_do_not_grow_with_the_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(spark.read.text(landing).inputFiles()) <= 12
+
+
+def test_landed_text_does_not_grow_with_the_pages(spark, tmp_path, monkeypatch):
+    """30 files of pages land 10 at a time and go when they are taken; the tables are those of pages that land at once."""
+    kinds = ["view", "error", "signup", "click", "purchase", None]
+    rows = [(i % 55 if i != 7 else None, kinds[i % 6], float(i * 3 % 70) if i % 9 else None, json.dumps({"k": i % 120})) for i in range(60)]
+    frame = spark.createDataFrame(rows, "event_id long, event_type string, value double, props string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    shared, seen = Path(scratch_dir(spark).removeprefix("file:")), []
+
+    def watched(spark, landing, *args, **more):
+        files = [f for f in Path(landing).glob("part-*")]
+        seen.append((len(files), sum(len(f.read_text().splitlines()) for f in files)))
+        return ingest_stream(spark, landing, *args, **more)
+
+    def run():
+        seen.clear()
+        return sorted(map(str, table_checks.stream_ingest(Tables(spark, str(tmp_path))).collect())), list(seen)
+
+    def left():
+        return {p.name for label in ("landing", "events", "records") for p in shared.glob(f"{label}-*")}
+
+    monkeypatch.setattr(table_checks, "ingest_stream", watched)
+    before, (expected, whole) = left(), run()
+    monkeypatch.setattr(table_checks, "EVENTS_IN_FILE", 2)
+    found, parts = run()
+    assert expected and found == expected
+    assert len(whole) == 1 and len(parts) == 3 and max(files for files, _ in parts) <= 10
+    assert sum(lines for _, lines in parts) == whole[0][1] and max(lines for _, lines in parts) < whole[0][1] / 2
+    assert left() == before
+
+
+def test_the_stream_keeps_its_rows_once(spark, tmp_path, roots, monkeypatch):
+    land(tmp_path / "landing", 0, None, [1, 2, 0])
+    land(tmp_path / "landing", 1, None, [8], status=502)
+    shared, store, seen = Path(scratch_dir(spark).removeprefix("file:")), load.store_good, []
+
+    def watched(good, *args):
+        seen.append((set(shared.glob("records-*")), spark.conf.get(CLEANUP, None)))
+        store(good, *args)
+
+    monkeypatch.setattr(load, "store_good", watched)
+    before = set(shared.glob("records-*"))
+    ingest_stream(spark, str(tmp_path / "landing"), roots, str(tmp_path / "cp"), DAY, max_files=1).awaitTermination()
+    assert seen == [(before, "true")]
+    assert stored(spark, roots) == [(1, "n1", "matrix_0"), (2, "n2", "matrix_0")]
+    assert sorted((-1 if r.id is None else r.id, r.reason) for r in read_bad(spark, roots.bad).collect()) == [(-1, "page_server_error"), (0, "id_not_positive")]
+    assert [r.fetched_date for r in read_stats(spark, roots.stats).collect()] == [DAY, DAY]
